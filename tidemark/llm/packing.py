@@ -58,7 +58,7 @@ def lengths(df: DataFrame, doc_id: str, text: str, vocabulary: str = VOCABULARY)
 class Plan:
     """How often each pattern is used. ``patterns``: (lengths, counts, uses) in the order of their containers."""
 
-    def __init__(self, histogram: dict[int, int], capacity: int = CAPACITY, epsilon: float = 0.2, rounds: int = 150):
+    def __init__(self, histogram: dict[int, int], capacity: int = CAPACITY, epsilon: float = 0.5, rounds: int = 60):
         if any(not 0 < n <= capacity for n in histogram):
             raise ValueError("every length must be within the capacity")
         self.capacity = capacity
@@ -82,57 +82,72 @@ class Plan:
         self.patterns.append((sizes.astype(np.int64), counts.astype(np.int64), uses))
 
     def _price(self, sizes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The knapsack: the most value within each room, and the index of an item to take for it, or -1."""
-        best, take = np.zeros(self.capacity + 1), np.full(self.capacity + 1, -1)
-        upto = np.searchsorted(sizes, np.arange(self.capacity + 1), side="right")
+        """The knapsack for several weights at once: the most value within each room, and the index of an item to take for it, or -1.
+
+        values: one row an item, one column a set of weights; so are the results, one row a room.
+        """
+        tables = values.shape[1]
+        best, take = np.zeros((self.capacity + 1, tables)), np.full((self.capacity + 1, tables), -1)
+        upto, every = np.searchsorted(sizes, np.arange(self.capacity + 1), side="right"), np.arange(tables)
         for room in range(1, self.capacity + 1):
             k = upto[room]
             best[room] = best[room - 1]
             if k:
                 worth = best[room - sizes[:k]] + values[:k]
-                i = int(worth.argmax())
-                if worth[i] > best[room]:
-                    best[room], take[room] = worth[i], i
+                i = worth.argmax(axis=0)
+                top = worth[i, every]
+                more = top > best[room]
+                best[room, more], take[room, more] = top[more], i[more]
         return best, take
 
-    def _pattern(self, first: int, sizes: np.ndarray, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The item ``first`` and the best of the room beside it."""
+    def _pattern(self, first: int, names: np.ndarray, sizes: np.ndarray, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The length ``first`` and the best of the room beside it; item i of ``take`` is the length ``names[i]``."""
         items, room = [first], self.capacity - int(sizes[first])
         while room > 0:
             i = int(take[room])
             if i < 0:
                 room -= 1
             else:
-                items.append(i)
-                room -= int(sizes[i])
+                items.append(int(names[i]))
+                room -= int(sizes[names[i]])
         return np.unique(np.array(items), return_counts=True)
 
-    def _fractional(self, demand: np.ndarray, epsilon: float, rounds: int) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    def _fractional(self, demand: np.ndarray, epsilon: float, rounds: int, tables: int = 8, around: int = 192) -> list[tuple[np.ndarray, np.ndarray, float]]:
         """Patterns and their uses, covering each length at most once over.
 
-        One pricing yields the best pattern around every length; those within
-        1 - epsilon of the best under the weights as they are by then are used,
-        each so far that it covers no length by more than epsilon of its demand, or one text.
+        The weight of a length falls with the share of it that is covered. A
+        round prices ``tables`` slightly perturbed copies of the weights at once,
+        so that equally good patterns take turns, and completes each into the best
+        patterns around ``around`` lengths still to be covered, the least covered and
+        longest first. Patterns within 1 - epsilon of the best under the weights
+        as they are by then are used, each so far that it covers no length by
+        more than epsilon of its demand, or one text. Lengths too rare to be
+        repeated in a container come in as the length a pattern is built around.
         """
         sizes = np.flatnonzero(demand)
         if not len(sizes):
             return []
+        random = np.random.default_rng(1)  # ties only; the plan is the same in every run
         wanted = demand[sizes].astype(float)
         left, uses = wanted.copy(), {}
-        rate = math.log(len(sizes) + 1) / epsilon
         volume = float(sizes @ wanted)
+        weigh = lambda i: sizes[i] * np.exp(left[i] / wanted[i] - 1)
         for _ in range(rounds):
             open_ = np.flatnonzero(left > 1e-9)
-            if not len(open_) or float(sizes @ left) < 0.01 * volume:
-                break
-            names = sizes[open_]
-            weigh = lambda i: sizes[i] * np.exp(-rate * (1 - left[i] / wanted[i]) / 8)
-            best, take = self._price(names, weigh(open_))
             before = float(sizes @ left)
-            for first in range(len(open_) - 1, -1, -1):
-                local, counts = self._pattern(first, names, take)
-                items = open_[local]
-                if float(counts @ weigh(items)) < (1 - epsilon) * best[self.capacity]:
+            if before < 0.01 * volume:
+                break
+            names = open_[left[open_] >= np.minimum(self.capacity // sizes[open_], 8)]
+            if not len(names):
+                break
+            noise = 1 + 0.02 * random.random((len(names), tables))
+            best, take = self._price(sizes[names], weigh(names)[:, None] * noise)
+            rank = np.lexsort((-sizes[open_], -np.round(left[open_] / wanted[open_], 1)))
+            firsts = open_[rank[: tables * around]]
+            for n, first in enumerate(firsts):
+                table = n % tables
+                items, counts = self._pattern(int(first), names, sizes, take[:, table])
+                if float(counts @ weigh(items)) < (1 - epsilon) * best[self.capacity, table] / 1.02:
                     continue
                 step = float(min((left[items] / counts).min(), (np.maximum(1, epsilon * wanted[items]) / counts).min()))
                 if step <= 1e-9:
