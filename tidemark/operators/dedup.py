@@ -49,16 +49,18 @@ def keep_last(df: DataFrame, ids: Sequence[str], order: Sequence[str]) -> DataFr
     return _one_of_each(df.filter(_identified(ids)), ids, order, last=True)
 
 
+def ranking(df: DataFrame, order: Sequence[str], last: bool) -> Column:
+    """A struct that is least for the first row by ``order`` (nulls last) or greatest for the last (nulls first), and differs for different rows."""
+    by = [F.col(name) for name in order] if last else [x for name in order for x in (F.col(name).isNull(), F.col(name))]
+    return F.struct(*[c.alias(f"r{i}") for i, c in enumerate([*by, _hash_of_row(df)])])
+
+
 def _one_of_each(df: DataFrame, ids: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
     columns = df.columns
     rest = [c for c in columns if c not in ids]
-    rank = []
-    for name in order:
-        rank += [F.col(name).isNull(), F.col(name)] if not last else [F.col(name).isNotNull(), F.col(name)]
-    rank = F.struct(*[c.alias(f"r{i}") for i, c in enumerate([*rank, _hash_of_row(df)])])
     payload = F.struct(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(rest)]) if rest else F.struct(F.lit(1).alias("v0"))
     pick = F.max_by if last else F.min_by
-    picked = df.filter(_identified(ids)).groupBy(*ids).agg(pick(payload, rank).alias("__row"))
+    picked = df.filter(_identified(ids)).groupBy(*ids).agg(pick(payload, ranking(df, order, last)).alias("__row"))
     back = {c: F.col(f"__row.v{i}") for i, c in enumerate(rest)}
     one = picked.select(*[back[c].alias(c) if c in back else F.col(c) for c in columns])
     return one if last else one.unionByName(df.filter(~_identified(ids)))

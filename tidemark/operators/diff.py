@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.dedup import keep_first, keep_last
+from tidemark.operators.dedup import ranking
 
 MISSING_IN_TARGET, MISSING_IN_SOURCE, DIFFERS = "missing_in_target", "missing_in_source", "differs"
 
@@ -38,30 +38,42 @@ class Settle:
     order: tuple[str, ...]
     last: bool = False
 
-    def __call__(self, df: DataFrame, key: str) -> DataFrame:
-        return (keep_last if self.last else keep_first)(df, [key], self.order)
+    def __call__(self, df: DataFrame, key: str, columns: Sequence[Column]) -> DataFrame:
+        pick = F.max_by if self.last else F.min_by
+        order = [F.col(f"`{c}`").alias(f"__by_{i}") for i, c in enumerate(self.order)]
+        narrow = _keyed(df, key, F.struct(*columns, F.lit(True).alias("__there")).alias("__row"), *order)
+        rank = ranking(narrow, [f"__by_{i}" for i in range(len(order))], self.last)
+        return narrow.groupBy(*KEY).agg(pick("__row", rank).alias("__row")).select(*KEY, "__row.*").drop("__there")
 
 
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key), F.lit("bucket")), F.lit(buckets).cast("bigint"))
+#: A key is kept as its text and whether it is null, neither of which is null, so that plain equality joins on it.
+KEY = ("__key", "__null")
 
 
-def matrix(side: DataFrame, key: str, columns: Sequence[str], buckets: int) -> DataFrame:
+def _keyed(df: DataFrame, key: str, *columns: Column) -> DataFrame:
+    return df.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__key"), F.col(key).isNull().alias("__null"), *columns)
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*KEY, F.lit("bucket")), F.lit(buckets).cast("bigint"))
+
+
+def matrix(side: DataFrame, columns: Sequence[str], buckets: int) -> DataFrame:
     """``bucket`` and ``sums``: one sum of hashes for the key and one for each column.
 
     Hashes have 56 bits, so a sum is exact up to 128 rows a bucket beyond chance
     and overflows only past that many times its width; then it is null, which
     equals nothing. The number of rows is part of the key's entry.
     """
-    hashes = [F.xxhash64(F.col(key))] + [F.xxhash64(F.col(key), F.col(f"`{c}`").isNull(), F.col(f"`{c}`")) for c in columns]
-    hashed = side.select(_bucket(key, buckets).alias("bucket"), *[F.shiftright(h, 8).alias(f"h{i}") for i, h in enumerate(hashes)])
+    hashes = [F.xxhash64(*KEY)] + [F.xxhash64("__key", F.col(f"`{c}`").isNull(), F.col(f"`{c}`")) for c in columns]
+    hashed = side.select(_bucket(buckets).alias("bucket"), *[F.shiftright(h, 8).alias(f"h{i}") for i, h in enumerate(hashes)])
     summed = hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *[F.try_sum(f"h{i}").alias(f"s{i}") for i in range(len(hashes))])
     return summed.select("bucket", F.array("n", *[F.col(f"s{i}") for i in range(len(hashes))]).alias("sums"))
 
 
-def unequal_cells(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], buckets: int) -> DataFrame:
+def unequal_cells(source: DataFrame, target: DataFrame, columns: Sequence[str], buckets: int) -> DataFrame:
     """``bucket, columns``: the buckets that differ and which columns do there; all, where the keys differ."""
-    a, b = (matrix(side, key, columns, buckets).withColumnRenamed("sums", name) for side, name in ((source, "a"), (target, "b")))
+    a, b = (matrix(side, columns, buckets).withColumnRenamed("sums", name) for side, name in ((source, "a"), (target, "b")))
     both = a.join(b, "bucket", "full_outer")
     same = lambda i: F.coalesce(F.get("a", i) == F.get("b", i), F.lit(False))
     keys_differ = ~(same(0) & same(1))
@@ -77,32 +89,29 @@ def differences(source: DataFrame, target: DataFrame, key: str, columns: Sequenc
     target but the key, as far as the source has them. settle: which of the
     source's rows of a key counts. Without it, and always on the target, a
     repeated key stands for the smallest of its rows; rows repeated alike on
-    both sides are equal. A null key is a key like others, with a null ``row_key``
-    (with ``settle``, source rows without a key are compared as they are).
+    both sides are equal. A null key is a key like others, with a null ``row_key``.
     """
     columns = [c for c in (columns or target.columns) if c != key and c in source.columns]
     types = {f.name: f.dataType for f in target.schema}
-    order = settle.order if settle else ()
-    typed = lambda df, *more: df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in (key, *columns)], *more)
-    # Order columns ride along under names of their own, as they may be compared, and cast, too.
-    source = typed(source, *[F.col(f"`{c}`").alias(f"__by_{i}") for i, c in enumerate(order)])
-    target = typed(target)
-    by = Settle(tuple(f"__by_{i}" for i in range(len(order))), settle.last) if settle else None
-    cells = unequal_cells(typed(by(source, key)) if by else source, target, key, columns, buckets)
-    cells = cells.withColumnsRenamed({"bucket": "__bucket", "columns": "__unequal"})
-    inside = lambda df: df.join(cells, _bucket(key, buckets) == F.col("__bucket")).drop("__bucket")
-
-    def rows(df: DataFrame, name: str) -> DataFrame:
-        """One row a key, with only the values that some row of its bucket has unequal."""
+    typed = [F.col(f"`{c}`").cast(types[c]).alias(c) for c in columns]
+    source = settle(source, key, typed) if settle else _keyed(source, key, *typed)
+    target = _keyed(target, key, *typed)
+    # At most `buckets` rows of names of columns, whatever the tables hold.
+    cells = F.broadcast(unequal_cells(source, target, columns, buckets).withColumnsRenamed({"bucket": "__bucket", "columns": "__unequal"}))
+
+    def rows(df: DataFrame, name: str, unique: bool) -> DataFrame:
+        """One row a key of the unequal buckets, with only the values that some row of its bucket has unequal."""
+        inside = df.join(cells, _bucket(buckets) == F.col("__bucket"))
         values = F.struct(*[F.when(F.array_contains("__unequal", c), F.col(f"`{c}`")).alias(c) for c in columns], F.lit(True).alias("__there"))
-        return df.select(F.col(key).alias(f"{name}_key"), values.alias(name)).groupBy(f"{name}_key").agg(F.min(name).alias(name))
+        found = inside.select(*KEY, values.alias(name))
+        return found if unique else found.groupBy(*KEY).agg(F.min(name).alias(name))
 
-    a = rows(by(inside(source), key) if by else inside(source), "a")
-    both = a.join(rows(inside(target), "b"), F.col("a_key").eqNullSafe(F.col("b_key")), "full_outer")
+    # The settled source comes out of one shuffle by key, which both the matrix and this join read.
+    both = rows(source, "a", unique=settle is not None).join(rows(target, "b", unique=False), list(KEY), "full_outer")
     in_a, in_b = F.col("a").isNotNull(), F.col("b").isNotNull()
     one = lambda field, kind: F.struct(field.alias("field_name"), F.lit(kind).alias("diff_kind"))
     fields = [F.when(~F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")), F.lit(c)) for c in columns]
     differing = F.transform(F.array_compact(F.array(*fields, F.lit(None).cast("string"))), lambda c: one(c, DIFFERS))
     found = F.when(~in_b, F.array(one(F.lit("*"), MISSING_IN_TARGET))).when(~in_a, F.array(one(F.lit("*"), MISSING_IN_SOURCE))).otherwise(differing)
-    listed = both.select(F.when(in_a, F.col("a_key")).otherwise(F.col("b_key")).cast("string").alias("row_key"), F.explode(found).alias("d"))
+    listed = both.select(F.when(~F.col("__null"), F.col("__key")).alias("row_key"), F.explode(found).alias("d"))
     return listed.select("row_key", "d.field_name", "d.diff_kind")
