@@ -1,0 +1,24 @@
+"""Every query against its SQL on the smallest tables."""
+
+import pytest
+from verify import compare
+
+from tidemark.plans import cdc, problems
+
+ALL = cdc.QUERIES | problems.QUERIES
+SQL = cdc.SQL | problems.SQL
+
+
+@pytest.mark.parametrize("name", list(ALL))
+def test_same_as_sql(name, spark, folder, oracle):
+    columns, names, more, less = compare(ALL[name](spark, folder), SQL[name], oracle)
+    assert columns == names
+    assert not more and not less, (list(more)[:3], list(less)[:3])
+
+
+def test_entry_point(spark):
+    import __spark_entry__ as entry
+
+    assert set(ALL) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert entry.entry(spark).columns

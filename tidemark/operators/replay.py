@@ -78,7 +78,7 @@ def first_gap(numbers: DataFrame, column: str, start: int, buckets: int = 65536)
         b = 0
         while b in found:
             b += 1
-        low += b * width
+        low = min(low + b * width, high + 1)  # the last range may be short
         if low > high or width == 1:
             return low
         high = min(high, low + width - 1)
