@@ -49,14 +49,13 @@ def retry(entries: DataFrame, dimension: DataFrame, key: str, as_of: Column, sch
         turn = turn & (F.col("next_retry_at") <= as_of)
     hit, out = turn & F.col("__k").isNotNull(), turn & F.col("__k").isNull() & (F.col("retry_count") >= most)
     again = turn & F.col("__k").isNull() & (F.col("retry_count") < most)
-    count = F.when(out | again, F.col("retry_count") + 1).otherwise(F.col("retry_count"))
-    return tried.select(
-        *[F.col(f"`{c}`") for c in entries.columns if c not in ("status", "retry_count", "next_retry_at", "resolved_at")],
-        F.when(hit, F.lit(RESOLVED)).when(out, F.lit(FAILED)).otherwise(F.col("status")).alias("status"),
-        count.alias("retry_count"),
-        F.when(again, next_try(as_of, F.col("retry_count") + 1, schedule)).otherwise(F.col("next_retry_at")).alias("next_retry_at"),
-        F.when(hit | out, as_of).otherwise(F.col("resolved_at")).alias("resolved_at"),
-    )
+    after = {
+        "status": F.when(hit, F.lit(RESOLVED)).when(out, F.lit(FAILED)).otherwise(F.col("status")),
+        "retry_count": F.when(out | again, F.col("retry_count") + 1).otherwise(F.col("retry_count")),
+        "next_retry_at": F.when(again, next_try(as_of, F.col("retry_count") + 1, schedule)).otherwise(F.col("next_retry_at")),
+        "resolved_at": F.when(hit | out, as_of).otherwise(F.col("resolved_at")),
+    }
+    return tried.select(*[after[c].alias(c) if c in after else F.col(f"`{c}`") for c in entries.columns])
 
 
 def expire(entries: DataFrame, as_of: Column, days: int) -> DataFrame:

@@ -80,8 +80,11 @@ def fold_upserts(feed: DataFrame, row_type: T.StructType, key: str, time: str, s
     return start(feed, work, checkpoint, name, **how)
 
 
-def enrich(feed: DataFrame, row_type: T.StructType, key: str, on: str, dimension: Callable[[], DataFrame], attributes: list[str], store: Store, table: str, dead: str, checkpoint: str, trim: bool = False, **how) -> StreamingQuery:
-    """Transactions with the attributes of a dimension that is read anew for every batch; misses become dead letters in the same commit."""
+def enrich(feed: DataFrame, row_type: T.StructType, key: str, on: str, dimension: Callable[[], DataFrame], attributes: list[str], store: Store, table: str, dead: str, checkpoint: str, trim: bool = False, update: Sequence[str] | None = None, **how) -> StreamingQuery:
+    """Transactions with the attributes of a dimension that is read anew for every batch; misses become dead letters in the same commit.
+
+    update: the columns that change in rows that are there already; by default all.
+    """
     name = how.pop("name", f"enrich_{table}")
 
     def work(batch: DataFrame, number: int) -> None:
@@ -93,7 +96,7 @@ def enrich(feed: DataFrame, row_type: T.StructType, key: str, on: str, dimension
             lost = joins.misses(both, dim, "NOT_FOUND", "TABLE_EMPTY", F.concat(F.lit(f"no {on} "), F.coalesce(F.col(on), F.lit("null"))))
             hits = both.filter("matched").drop("matched")
             store.commit(ledger_name(batch, name, checkpoint), number, {
-                table: (hits, [key], lambda old, new: merge.update_columns(old, new, [key], [*attributes, "offset"])),
+                table: (hits, [key], lambda old, new: merge.upsert(old, new, [key]) if update is None else merge.update_columns(old, new, [key], update)),
                 dead: (lost.select(*[f.name for f in row_type], "error_code", "error_reason"), [key], lambda old, new: merge.insert_absent(old, new, [key])),
             })
         finally:
