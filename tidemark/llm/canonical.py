@@ -13,6 +13,8 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tidemark.session import cut_lineage
+
 # Letters of other scripts that are drawn like a Latin letter, and that letter.
 CYRILLIC = "АВЕЅІЈКМНОРСТУХҮ" "аеорсухіјѕһԁԛԝӏ"
 CYRILLIC_AS = "ABESIJKMHOPCTYXY" "aeopcyxijshdqwl"
@@ -131,10 +133,14 @@ def canonical(df: DataFrame, text: str, to: str = "canonical") -> DataFrame:
 
 
 def fingerprints(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, form, exact``: 128-bit hashes of the consistent form and of the text itself; the texts stay where they are. Null texts are left out."""
+    """``doc_id, form, exact``: 128-bit hashes of the consistent form and of the text itself. Null texts are left out.
+
+    Written to the shared checkpoint folder, since what follows reads them twice:
+    under 100 bytes a document, against bringing every text into its form again.
+    """
     narrow = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
     schema = T.StructType([T.StructField("doc_id", df.schema[doc_id].dataType), T.StructField("form", T.StringType()), T.StructField("exact", T.StringType())])
-    return run_in_duckdb(narrow, f"SELECT doc_id, md5({sql('text')}) AS form, md5(text) AS exact FROM batch", schema)
+    return cut_lineage(run_in_duckdb(narrow, f"SELECT doc_id, md5({sql('text')}) AS form, md5(text) AS exact FROM batch", schema))
 
 
 def look_alikes(df: DataFrame, doc_id: str, text: str) -> DataFrame:
