@@ -63,6 +63,12 @@ def inside(offsets: np.ndarray, size: int) -> np.ndarray:
     return np.where(row[:n] == row[size - 1 : size - 1 + n], row[:n], -1) if n else np.zeros(0, np.int64)
 
 
+def _stretches(true: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Start and end of each stretch of true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], true.view(np.int8), [0]))))
+    return zip(edges[::2], edges[1::2], strict=True)
+
+
 def tiles(a: np.ndarray, b: np.ndarray, min_words: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling of two word sequences: (start in a, start in b, length), longest first.
 
@@ -75,19 +81,22 @@ def tiles(a: np.ndarray, b: np.ndarray, min_words: int) -> list[tuple[int, int,
         return []
     order = np.argsort(fb, kind="stable")
     low, high = np.searchsorted(fb[order], fa, "left"), np.searchsorted(fb[order], fa, "right")
-    seeds: dict[int, list[int]] = {}
-    for i in np.flatnonzero(high > low):
-        for j in order[low[i] : high[i]]:
-            if (a[i : i + min_words] == b[j : j + min_words]).all():
-                seeds.setdefault(int(i) - int(j), []).append(int(i))
+    many = high - low
+    i = np.repeat(np.arange(len(fa)), many)
+    j = order[np.repeat(low, many) + np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)]
+    by_diagonal = np.lexsort((i, i - j))
+    i, j = i[by_diagonal], j[by_diagonal]
+    # Where the next seed isn't the next on its diagonal, a run ends.
+    last = np.flatnonzero(np.concatenate(((np.diff(i - j) != 0) | (np.diff(i) != 1), [True]))) if len(i) else np.zeros(0, np.int64)
+    first = np.concatenate(([0], last[:-1] + 1)) if len(last) else last
     heap: list[tuple[int, int, int]] = []
-    for shift, starts in seeds.items():
-        first = last = starts[0]
-        for i in starts[1:] + [-2]:
-            if i != last + 1:
-                heap.append((-(last - first + min_words), first, first - shift))
-                first = i
-            last = i
+    for s, e in zip(first, last, strict=True):
+        at_a, at_b, length = int(i[s]), int(j[s]), int(e - s) + min_words
+        equal = a[at_a : at_a + length] == b[at_b : at_b + length]
+        if equal.all():
+            heap.append((-length, at_a, at_b))
+        else:  # fingerprints that are equal by chance
+            heap.extend((-int(y - x), at_a + int(x), at_b + int(x)) for x, y in _stretches(equal) if y - x >= min_words)
     heapq.heapify(heap)
     in_a, in_b, out = np.zeros(len(a), bool), np.zeros(len(b), bool), []
     while heap:
@@ -97,8 +106,7 @@ def tiles(a: np.ndarray, b: np.ndarray, min_words: int) -> list[tuple[int, int,
             in_a[i : i - length] = in_b[j : j - length] = True
             out.append((i, j, -length))
             continue
-        edges = np.flatnonzero(np.diff(np.concatenate(([0], free.view(np.int8), [0]))))
-        for s, e in zip(edges[::2], edges[1::2], strict=True):
+        for s, e in _stretches(free):
             if e - s >= min_words:
                 heapq.heappush(heap, (-int(e - s), i + int(s), j + int(s)))
     return out
