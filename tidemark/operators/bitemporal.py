@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tidemark.operators.skew import heavy_keys
 
 _LIMIT = 9223372036854775807
+#: Cells in a span, see :func:`_best_before`.
+SPAN = 4096
 
 
 def _micros(df: DataFrame, column: str):
@@ -50,6 +52,19 @@ def fine_cells(versions: DataFrame, cell_micros: int, share: float, per_cell: in
     return heavy.select("entity", F.least(F.lit(cell_micros), wide).alias("cell"))
 
 
+def _best_before(cells: DataFrame) -> DataFrame:
+    """``entity, cell, version``: the greatest ``best`` of all earlier cells of the entity.
+
+    In two steps, within spans of cells and over spans, so that an entity with ever
+    so many cells is spread over its spans.
+    """
+    spans = cells.withColumn("span", F.floor(F.col("cell") / F.lit(SPAN)).cast("bigint"))
+    before = lambda keys, by: Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    over = spans.groupBy("entity", "span").agg(F.max("best").alias("top")).select("entity", "span", F.max("top").over(before(["entity"], "span")).alias("above"))
+    within = spans.select("entity", "span", "cell", F.max("best").over(before(["entity", "span"], "cell")).alias("inner"))
+    return within.join(over, ["entity", "span"]).select("entity", "cell", F.greatest("inner", "above").alias("version"))
+
+
 def as_known(
     events: DataFrame,
     versions: DataFrame,
@@ -90,8 +105,7 @@ def as_known(
     best = corners.groupBy("entity", "cell").agg(F.max("version").alias("best"))
     empty = points.select("entity", "cell").distinct().select("entity", "cell", F.lit(None).cast(best.schema["best"].dataType).alias("best"))
     cells = best.unionByName(empty).groupBy("entity", "cell").agg(F.max("best").alias("best"))
-    earlier = Window.partitionBy("entity").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    carried = cells.select("entity", "cell", F.max("best").over(earlier).alias("version")).filter(F.col("version").isNotNull())
+    carried = _best_before(cells).filter(F.col("version").isNotNull())
     # The squares of a cell: a new one starts where a better version comes into sight.
     starts = corners.select("entity", "cell", "at", "version").unionByName(carried.select("entity", "cell", F.lit(-_LIMIT).alias("at"), "version"))
     starts = starts.groupBy("entity", "cell", "at").agg(F.max("version").alias("version"))
