@@ -165,3 +165,46 @@ def test_watch_stops_all_on_a_failure(spark, feed, tmp_path):
     with pytest.raises(Exception, match="on purpose"):
         supervise.watch([good, bad], every=0.2)
     assert not good.isActive and not bad.isActive
+
+
+ENVELOPES = "op string, before string, after string, ts_ms string, scn long, id string"
+
+
+def staged(spark, at, batches):
+    for n, batch in enumerate(batches):
+        spark.createDataFrame(batch, ENVELOPES).coalesce(1).write.mode("append").parquet(f"{at}/part{n:02d}")
+        for f in os.listdir(f"{at}/part{n:02d}"):
+            os.utime(f"{at}/part{n:02d}/{f}", (1_700_000_000 + n, 1_700_000_000 + n))
+    return spark.readStream.schema(ENVELOPES).option("maxFilesPerTrigger", 1).parquet(f"{at}/*")
+
+
+def test_replay_stream_waits_and_keeps_deletes(spark, tmp_path):
+    change = lambda op, key, scn, whole=True: (op, None, ('{"N":%d}' % scn if whole else '{"N"') if op != "d" else None, str(scn), scn, key)
+    batches = [
+        [change("c", "a", 1), change("c", "b", 2), change("u", "a", 4, whole=False), change("d", "b", 5)],
+        [change("u", "a", 3), change("c", "c", 6)],
+        [change("u", "a", 4)],
+        [change("u", "b", 2)],
+    ]
+    store = Store(spark, str(tmp_path / "store"), buckets=3, keep_versions=20)
+    run(jobs.replayed(staged(spark, f"{tmp_path}/in", batches), "id", "scn", store, "s", f"{tmp_path}/c", available=True))
+    seen = [{r.key: (r.op, r.transaction) for r in store.read("s", version=v).collect()} for v in (1, 2, 3, 4)]
+    assert seen[0] == {"a": ("c", 1), "b": ("c", 2)}
+    assert seen[1] == {"a": ("u", 3), "b": ("c", 2)}
+    assert seen[2] == seen[3] == {"a": ("u", 4), "b": ("d", 5), "c": ("c", 6)}
+    assert [store.read("s_waiting", version=v).count() for v in (1, 2, 3, 4)] == [2, 3, 0, 0]
+
+
+def test_replay_stream_holds_at_missing_numbers(spark, tmp_path):
+    change = lambda key, scn: ("c", None, "{}", str(scn), scn, key)
+    store = Store(spark, str(tmp_path / "store"), buckets=2, keep_versions=20)
+    run(jobs.replayed(staged(spark, f"{tmp_path}/in", [[change("a", 1), change("b", 3)], [change("c", 2), change("d", 5)]]), "id", "scn", store, "s", f"{tmp_path}/c", first=1, available=True))
+    assert [{r.key for r in store.read("s", version=v).collect()} for v in (1, 2)] == [{"a"}, {"a", "b", "c"}]
+    assert store.read("s_next").first().n == 4 and {r.key for r in store.read("s_waiting").collect()} == {"d"}
+
+
+def test_bootstrap_once(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    assert jobs.bootstrap(store, "t", df, ["k"]) and not jobs.bootstrap(store, "t", df, ["k"])
+    assert rows(store.read("t")) == [("a", 1)]

@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators import aggregates, dedup, joins, late, merge
+from tidemark.operators import aggregates, dedup, joins, late, merge, replay
 from tidemark.operators.envelope import DELETE, WRITES, effective_image, is_json_object, parse_envelope
 from tidemark.streaming.store import Store
 
@@ -164,3 +164,43 @@ def periods(records: DataFrame, period: str, arrived_ms: str, groups: Sequence[s
         store.commit(ledger_name(batch, name, checkpoint), number, {table: (new, keys, lambda old, more: late.merge(old, more, groups=[period, *groups]))})
 
     return start(records, work, checkpoint, name, **how)
+
+
+def replayed(feed: DataFrame, key: str, transaction: str, store: Store, table: str, checkpoint: str, first: int | None = None, payload: Sequence[str] = ("after",), **how) -> StreamingQuery:
+    """The replay of :mod:`tidemark.operators.replay` batch by batch: ``key, op, transaction, position, payload``, deleted keys among them.
+
+    feed: a stream of envelopes' fields with ``key`` and ``transaction``. What is at or above the
+    committed watermark waits in the table ``<table>_waiting``, which is the part of the
+    feed not yet exposed, and joins the next batch; both tables and the next expected
+    number change in one commit. first: the first number, where transactions are
+    numbered without gaps. Deleted keys stay as rows with op d, so that an older change
+    that comes late can't bring them back.
+    """
+    name = how.pop("name", f"replayed_{table}")
+
+    def work(batch: DataFrame, number: int) -> None:
+        every = replay.prepare(batch, key, transaction, payload=payload)
+        waiting = store.read(f"{table}_waiting")
+        every = (every if waiting is None else every.unionByName(waiting)).persist()
+        try:
+            held = replay.watermark(replay.assemble(every)).first().held
+            ready = F.lit(True) if held is None else F.col("position") < F.struct(F.lit(held["at"]).cast("bigint").alias("at"), F.lit(held["commit"]).alias("commit"))
+            merges = {}
+            if first is not None:
+                next_ = store.read(f"{table}_next")
+                gap = replay.first_gap(every, "transaction", first if next_ is None else next_.first().n)
+                ready = ready & (F.col("transaction") < gap)
+                merges[f"{table}_next"] = (every.sparkSession.createDataFrame([(0, gap)], "id int, n long"), ["id"], None)
+            now = replay.replay(every.filter(ready), keep_deleted=True)
+            merges[table] = (now, ["key"], lambda old, new: merge.upsert_newer(old, new, ["key"], "position"))
+            merges[f"{table}_waiting"] = (every.filter(~ready).distinct(), ["key"], None)
+            store.commit(ledger_name(batch, name, checkpoint), number, merges)
+        finally:
+            every.unpersist()
+
+    return start(feed, work, checkpoint, name, **how)
+
+
+def bootstrap(store: Store, table: str, rows: DataFrame, key: Sequence[str], number: int = 0) -> bool:
+    """A cold start: ``rows`` as the table's first content, before its stream starts; done once for each ``number``, whatever is replayed."""
+    return store.commit(f"bootstrap/{table}", number, {table: (rows, key, lambda old, new: merge.upsert(old, new, key))})

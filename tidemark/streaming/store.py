@@ -76,11 +76,12 @@ class Store:
     def bucket(self, key: Sequence[str]):
         return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in key]), F.lit(self.buckets).cast("bigint")).cast("int")
 
-    def commit(self, query: str, batch: int, merges: dict[str, tuple[DataFrame, Sequence[str], Callable[[DataFrame, DataFrame], DataFrame]]]) -> bool:
+    def commit(self, query: str, batch: int, merges: dict[str, tuple[DataFrame, Sequence[str], Callable[[DataFrame, DataFrame], DataFrame] | None]]) -> bool:
         """Merges changes into tables, all in one version; False if the batch is in them already.
 
-        merges: for each table its changes, key, and the merge of (table, changes). The
-        changes of a table not yet there are merged into an empty one of their columns.
+        merges: for each table its changes, key, and the merge of (table, changes), or None
+        if the changes are the whole new table. The changes of a table not yet
+        there are merged into an empty one of their columns.
         """
         base = self.manifest()
         if base["ledger"].get(query, -1) >= batch:
@@ -89,14 +90,17 @@ class Store:
         for name, (changes, key, merge) in merges.items():
             # At most `buckets` numbers.
             touched = [r.b for r in changes.select(self.bucket(key).alias("b")).distinct().collect()]
-            if not touched:
+            if merge is None:
+                tables.pop(name, None)
+                merge = lambda old, new: new
+            elif not touched:
                 continue
             old = self.read(name, touched, base["version"] or None)
             if old is None:
                 old = self.spark.createDataFrame([], changes.schema)
             new = merge(old, changes)
             at = f"{self.folder}/data/{name}/{base['version'] + 1}-{uuid.uuid4().hex}"
-            new.withColumn("__bucket", self.bucket(key)).repartition(min(len(touched), self.buckets), "__bucket").write.partitionBy("__bucket").parquet(at)
+            new.withColumn("__bucket", self.bucket(key)).repartition(max(1, len(touched)), "__bucket").write.partitionBy("__bucket").parquet(at)
             written = {f.getPath().getName().split("=")[1]: f.getPath().toString() for f in self._fs.listStatus(self._fs_path(at)) if "=" in f.getPath().getName()}
             paths = dict(tables[name]["paths"]) if name in tables else {}
             for b in touched:
