@@ -208,3 +208,13 @@ def test_bootstrap_once(spark, tmp_path):
     df = spark.createDataFrame([("a", 1)], "k string, v int")
     assert jobs.bootstrap(store, "t", df, ["k"]) and not jobs.bootstrap(store, "t", df, ["k"])
     assert rows(store.read("t")) == [("a", 1)]
+
+
+def test_messages_once_across_batches(spark, folder, tmp_path):
+    messages = table(spark, folder, "t24_transactions").select("transaction_id", "amount", "kafka_offset")
+    at = str(tmp_path / "in")
+    messages.repartition(3, "kafka_offset").write.parquet(at)
+    store = Store(spark, str(tmp_path / "store"), buckets=4)
+    stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(at)
+    run(jobs.once(stream, ["transaction_id"], ["kafka_offset"], store, "m", f"{tmp_path}/c", available=True))
+    assert rows(store.read("m").select(*messages.columns)) == rows(dedup.keep_first(messages, ["transaction_id"], ["kafka_offset"]))

@@ -25,6 +25,7 @@ ROW = T.StructType(
 )
 #: The clock of every query that needs one: the end of the data's last day.
 AS_OF = "2026-05-01 00:00:00"
+# Waits in minutes and the most tries, the join delay and window, and the edges of age buckets in hours.
 SCHEDULE, MOST_TRIES = (5, 15, 60, 240, 1440), 5
 DELAY_MS, WINDOW_MS = 5 * 60_000, 30 * 60_000
 EDGES_HOURS = (1, 6, 24, 72)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,8 +48,3 @@ def shuffle_width(spark: SparkSession) -> int:
     """The number of partitions a shuffle makes in this session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-
-def folder_of(spark: SparkSession, name: str) -> str:
-    """A path below the shared checkpoint folder, for tables written between stages."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return os.path.join(shared or tempfile.mkdtemp(prefix="tidemark-"), name)

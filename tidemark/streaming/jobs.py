@@ -201,6 +201,22 @@ def replayed(feed: DataFrame, key: str, transaction: str, store: Store, table: s
     return start(feed, work, checkpoint, name, **how)
 
 
+def once(messages: DataFrame, ids: Sequence[str], order: Sequence[str], store: Store, table: str, checkpoint: str, **how) -> StreamingQuery:
+    """Exactly one of each message, within and across batches: the first by ``order``, even if it comes after its copies.
+
+    Messages without an identifier are left out, as a table can't tell them apart.
+    """
+    name = how.pop("name", f"once_{table}")
+
+    def work(batch: DataFrame, number: int) -> None:
+        for column in ids:
+            batch = batch.filter(F.col(column).isNotNull())
+        new = dedup.keep_first(batch, ids, order)
+        store.commit(ledger_name(batch, name, checkpoint), number, {table: (new, ids, lambda old, more: dedup.keep_first(old.unionByName(more), ids, order))})
+
+    return start(messages, work, checkpoint, name, **how)
+
+
 def bootstrap(store: Store, table: str, rows: DataFrame, key: Sequence[str], number: int = 0) -> bool:
     """A cold start: ``rows`` as the table's first content, before its stream starts; done once for each ``number``, whatever is replayed."""
     return store.commit(f"bootstrap/{table}", number, {table: (rows, key, lambda old, new: merge.upsert(old, new, key))})
