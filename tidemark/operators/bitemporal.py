@@ -58,11 +58,13 @@ def _best_before(cells: DataFrame) -> DataFrame:
     In two steps, within spans of cells and over spans, so that an entity with ever
     so many cells is spread over its spans.
     """
-    spans = cells.withColumn("span", F.floor(F.col("cell") / F.lit(SPAN)).cast("bigint"))
+    keys = ["entity", "span"]
+    # One shuffle, which the windows within spans and the spans' own best both read.
+    spans = cells.withColumn("span", F.floor(F.col("cell") / F.lit(SPAN)).cast("bigint")).repartition(*keys)
     before = lambda keys, by: Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
-    over = spans.groupBy("entity", "span").agg(F.max("best").alias("top")).select("entity", "span", F.max("top").over(before(["entity"], "span")).alias("above"))
-    within = spans.select("entity", "span", "cell", F.max("best").over(before(["entity", "span"], "cell")).alias("inner"))
-    return within.join(over, ["entity", "span"]).select("entity", "cell", F.greatest("inner", "above").alias("version"))
+    over = spans.groupBy(*keys).agg(F.max("best").alias("top")).select(*keys, F.max("top").over(before(["entity"], "span")).alias("above"))
+    within = spans.select(*keys, "cell", F.max("best").over(before(keys, "cell")).alias("inner"))
+    return within.join(over, keys).select("entity", "cell", F.greatest("inner", "above").alias("version"))
 
 
 def as_known(
@@ -102,19 +104,18 @@ def as_known(
     points = gridded(points.filter(F.col("entity").isNotNull() & F.col("at").isNotNull()), "at")
 
     # What holds at the start of each cell: the best version of all earlier cells.
-    best = corners.groupBy("entity", "cell").agg(F.max("version").alias("best"))
-    empty = points.select("entity", "cell").distinct().select("entity", "cell", F.lit(None).cast(best.schema["best"].dataType).alias("best"))
-    cells = best.unionByName(empty).groupBy("entity", "cell").agg(F.max("best").alias("best"))
+    empty = points.select("entity", "cell", F.lit(None).cast(corners.schema["version"].dataType).alias("version"))
+    cells = corners.select("entity", "cell", "version").unionByName(empty).groupBy("entity", "cell").agg(F.max("version").alias("best"))
     carried = _best_before(cells).filter(F.col("version").isNotNull())
-    # The squares of a cell: a new one starts where a better version comes into sight.
+    # The squares of a cell: a new one starts where a version comes into sight. Of several at one
+    # time, all but the last have no extent, and the last has the best of them all.
     starts = corners.select("entity", "cell", "at", "version").unionByName(carried.select("entity", "cell", F.lit(-_LIMIT).alias("at"), "version"))
-    starts = starts.groupBy("entity", "cell", "at").agg(F.max("version").alias("version"))
     along = Window.partitionBy("entity", "cell").orderBy("at")
     squares = starts.select(
         "entity", "cell", F.col("at").alias("low"),
         F.lead("at", 1, _LIMIT).over(along).alias("high"),
         F.max("version").over(along.rowsBetween(Window.unboundedPreceding, 0)).alias("version"),
-    )
+    ).filter("low < high")
     hit = points.withColumnsRenamed({"entity": "__entity", "cell": "__cell"}).join(
         squares, (F.col("__entity") == F.col("entity")) & (F.col("__cell") == F.col("cell")) & (F.col("at") >= F.col("low")) & (F.col("at") < F.col("high"))
     )
