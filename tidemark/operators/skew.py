@@ -18,7 +18,7 @@ TRACKED_PER_SHARE = 64
 
 
 def candidates(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys that may hold at least ``share`` of all rows: ``key`` and nothing else.
+    """Keys that may hold at least ``share`` of all rows, and how many rows there are: ``key, n_all``.
 
     A frequent-items sketch with at least 64/share counters, merged from the
     partitions' sketches, overestimates by less than share/4. At most
@@ -27,21 +27,20 @@ def candidates(df: DataFrame, key: str, share: float) -> DataFrame:
     """
     most = min(math.ceil(2.7 / share) + 1, 100_000)
     tracked = max(most, min(1 << math.ceil(math.log2(TRACKED_PER_SHARE / share)), 1_000_000))
-    top = df.agg(F.expr(f"approx_top_k(`{key}`, {most}, {tracked})").alias("top"))
-    return top.select(F.explode("top").alias("t")).select(F.col("t.item").alias(key))
+    top = df.agg(F.expr(f"approx_top_k(`{key}`, {most}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n_all"))
+    return top.select(F.explode("top").alias("t"), "n_all").select(F.col("t.item").alias(key), "n_all")
 
 
 def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     """The keys on at least ``share`` of all rows, nulls included in all: ``key, n_rows, n_all``; exact.
 
-    The result has at most 1/share rows whatever the size of ``df``, so it is
-    broadcast safely. An empty table has none.
+    Two passes over one column. The result has at most 1/share rows whatever the
+    size of ``df``, so it is broadcast safely. An empty table has none.
     """
-    few = candidates(df, key, share)
-    joined = df.select(key).join(F.broadcast(few), key, "left_semi")
-    counts = joined.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return counts.withColumn("n_all", total).filter(F.col("n_rows") >= F.lit(share) * F.col("n_all"))
+    few = candidates(df, key, share).withColumnRenamed(key, "__key")
+    joined = df.select(key).join(F.broadcast(few), F.col(key) == F.col("__key"))
+    counts = joined.groupBy(key, "n_all").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.filter(F.col("n_rows") >= F.lit(share) * F.col("n_all")).select(key, "n_rows", "n_all")
 
 
 def aggregate_by_key(df: DataFrame, key: str, share: float, aggregates: Sequence[Column]) -> DataFrame:
