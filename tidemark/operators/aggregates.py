@@ -35,10 +35,13 @@ def signed_totals(rows: DataFrame, groups: Sequence[str], amount: str, parts: di
 
 
 def distribution(rows: DataFrame, value: Column, groups: Sequence[str] = (), shares: Sequence[float] = (0.5, 0.95)) -> DataFrame:
-    """Count, average, exact percentiles (interpolated, ``p50`` ...) and maximum of ``value``, six decimals. Nulls don't count."""
+    """Count, average, exact percentiles (interpolated, ``p50`` ...) and maximum of ``value``, six decimals. Nulls don't count.
+
+    The average is that of the values to six decimals, summed exactly, so it doesn't depend on the order of the rows.
+    """
     v = rows.withColumn("__v", value.cast("double")).filter(F.col("__v").isNotNull())
     points = [F.round(F.percentile("__v", F.lit(s)), 6).alias(f"p{s * 100:g}") for s in shares]
-    return v.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("__v"), 6).alias("average"), *points, F.round(F.max("__v"), 6).alias("most"))
+    return v.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("__v").cast("decimal(38,6)")).cast("double") / F.count(F.lit(1)), 6).alias("average"), *points, F.round(F.max("__v"), 6).alias("most"))
 
 
 def reconcile(raw: DataFrame, kept: DataFrame, keys: Sequence[str], amount: str, count: str, tolerance: str = "0.01") -> DataFrame:

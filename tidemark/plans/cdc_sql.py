@@ -113,10 +113,10 @@ SQL = {
     "dead_letter_share": f"""SELECT total, branch, customer, round(100 * branch / nullif(total, 0), 2) AS branch_pct, round(100 * customer / nullif(total, 0), 2) AS customer_pct FROM (SELECT (SELECT count(*) FROM ({_ONCE})) AS total,
         (SELECT count(*) FROM ({_BRANCHED}) WHERE NOT matched) AS branch, (SELECT count(*) FROM ({_CUSTOMERED}) WHERE NOT matched) AS customer)""",
     "row_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in _TABLES),
-    "latency": f"SELECT count(*) AS n, round(avg(lag_s), 6) AS average, {_POINT.format('lag_s', 0.5, 50)}, {_POINT.format('lag_s', 0.95, 95)}, {_POINT.format('lag_s', 0.99, 99)}, round(max(lag_s), 6) AS most FROM ({_LAG})",
-    "latency_by_hour": f"SELECT CAST(hour(make_timestamp(ts_ms * 1000)) AS INTEGER) AS hour, count(*) AS n, round(avg(lag_s), 6) AS average, {_POINT.format('lag_s', 0.95, 95)}, round(max(lag_s), 6) AS most FROM ({_LAG}) GROUP BY ALL",
+    "latency": f"SELECT count(*) AS n, round(CAST(sum(CAST(lag_s AS DECIMAL(38,6))) AS DOUBLE) / count(*), 6) AS average, {_POINT.format('lag_s', 0.5, 50)}, {_POINT.format('lag_s', 0.95, 95)}, {_POINT.format('lag_s', 0.99, 99)}, round(max(lag_s), 6) AS most FROM ({_LAG})",
+    "latency_by_hour": f"SELECT CAST(hour(make_timestamp(ts_ms * 1000)) AS INTEGER) AS hour, count(*) AS n, round(CAST(sum(CAST(lag_s AS DECIMAL(38,6))) AS DOUBLE) / count(*), 6) AS average, {_POINT.format('lag_s', 0.95, 95)}, round(max(lag_s), 6) AS most FROM ({_LAG}) GROUP BY ALL",
     "throughput": f"SELECT ts_ms // 60000 AS minute, count(*) AS n FROM ({_ONCE}) GROUP BY ALL",
-    "time_skew": f"SELECT count(*) AS n, round(avg(s), 6) AS average, {_POINT.format('s', 0.95, 95)}, {_POINT.format('s', 0.99, 99)}, round(max(s), 6) AS most FROM (SELECT abs(tm - acct_at) / 1000 AS s FROM ({_FIRST.format('')}))",
+    "time_skew": f"SELECT count(*) AS n, round(CAST(sum(CAST(s AS DECIMAL(38,6))) AS DOUBLE) / count(*), 6) AS average, {_POINT.format('s', 0.95, 95)}, {_POINT.format('s', 0.99, 99)}, round(max(s), 6) AS most FROM (SELECT abs(tm - acct_at) / 1000 AS s FROM ({_FIRST.format('')}))",
     "coverage": f"SELECT transaction_id, branch_code, account_id, enriched, with_balance, dead_letter FROM ({_COVERAGE})",
     "coverage_newest": f"SELECT transaction_id, transaction_date, enriched, with_balance FROM ({_COVERAGE}) ORDER BY transaction_date DESC, transaction_id LIMIT 50",
     "sync_lag": f"SELECT count(*) AS not_yet_synced, min(transaction_date) AS oldest_date FROM ({_ONCE}) o WHERE NOT EXISTS (SELECT 1 FROM t24_transactions_target t WHERE t.transaction_id = o.transaction_id)",

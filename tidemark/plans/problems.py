@@ -48,7 +48,7 @@ def late_records(spark: SparkSession, d: str) -> DataFrame:
     feed = table(spark, d, "debezium_envelope").filter(F.col("op").isin(*WRITES) & is_json_object(F.col("after")))
     changes = feed.select("source_scn", F.col("ts_ms").try_cast("bigint").alias("ts_ms"), F.from_json("after", IMAGE).alias("r"), "kafka_offset")
     changes = changes.select(
-        "source_scn", F.col("r.BRANCH_CODE").alias("branch_code"), F.date_from_unix_date(F.floorF.floor(F.col("r.TRANSACTION_DATE") / F.lit(late.DAY_MS)).try_cast("int")).alias("transaction_date"),
+        "source_scn", F.col("r.BRANCH_CODE").alias("branch_code"), F.date_from_unix_date(F.floor(F.col("r.TRANSACTION_DATE") / F.lit(late.DAY_MS)).try_cast("int")).alias("transaction_date"),
         F.col("r.AMOUNT").alias("amount"), "ts_ms", "kafka_offset",
     )
     changes = dedup.keep_first(changes, ["source_scn"], ["kafka_offset"])
