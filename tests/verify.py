@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import decimal
-import math
 import os
 import sys
 import time
