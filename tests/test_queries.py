@@ -22,3 +22,20 @@ def test_entry_point(spark):
     assert set(ALL) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).columns
+
+
+def test_every_customer_is_joined(spark, folder, oracle):
+    """Held against SQL of its own: the last snapshot of every customer, whatever its columns say."""
+    last = "SELECT * FROM t24_customer_target QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY snapshot_date DESC, loaded_at DESC) = 1"
+    once = "SELECT * FROM t24_transactions QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY kafka_offset) = 1"
+    known = f"SELECT o.transaction_id, o.customer_id, o.amount, c.customer_name, c.segment FROM ({once}) o JOIN ({last}) c ON trim(c.customer_id) = trim(o.customer_id)"
+    lost = f"SELECT transaction_id FROM ({once}) WHERE transaction_id NOT IN (SELECT transaction_id FROM ({known}))"
+    pairs = f"SELECT coalesce(a.customer_id, c.customer_id) AS customer_id, a.account_id, c.customer_name FROM t24_account_target a FULL JOIN ({last}) c ON c.customer_id = a.customer_id"
+    got = {name: ALL[name](spark, folder) for name in ("enrich_customer", "misses_customer", "dead_letters_new", "full_outer_key")}
+    for df, sql in ((got["enrich_customer"], known), (got["misses_customer"].select("transaction_id"), lost), (got["dead_letters_new"].select("transaction_id"), lost), (got["full_outer_key"], pairs)):
+        columns, names, more, less = compare(df, sql, oracle)
+        assert columns == names
+        assert not more and not less, (list(more)[:3], list(less)[:3])
+    kinds = f"SELECT CASE WHEN account_id IS NULL THEN 'right' WHEN customer_name IS NULL THEN 'left' ELSE 'both' END AS kind, count(*) AS n FROM ({pairs}) GROUP BY ALL"
+    assert not any(compare(ALL["join_methods"](spark, folder).filter("method = 'key'").select("kind", "n"), kinds, oracle)[2:])
+    assert ALL["dead_letter_share"](spark, folder).first().customer == oracle.execute(f"SELECT count(*) FROM ({lost})").fetchone()[0]

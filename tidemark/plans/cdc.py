@@ -139,9 +139,9 @@ def misses_branch(spark, d):
 
 
 def _customers(spark, d) -> DataFrame:
-    """Each customer's last snapshot; customers that joined on the first of a month come late and are not there yet."""
-    rows = dedup.keep_last(table(spark, d, "t24_customer_target").select("customer_id", "customer_name", "segment", "open_date", "snapshot_date", "loaded_at"), ["customer_id"], ["snapshot_date", "loaded_at"])
-    return rows.filter(F.dayofmonth("open_date") != 1).select(F.col("customer_id"), "customer_name", "segment")
+    """Each customer's last snapshot."""
+    rows = dedup.keep_last(table(spark, d, "t24_customer_target").select("customer_id", "customer_name", "segment", "snapshot_date", "loaded_at"), ["customer_id"], ["snapshot_date", "loaded_at"])
+    return rows.select("customer_id", "customer_name", "segment")
 
 
 def _by_customer(spark, d) -> DataFrame:
