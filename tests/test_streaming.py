@@ -195,6 +195,24 @@ def test_replay_stream_waits_and_keeps_deletes(spark, tmp_path):
     assert [store.read("s_waiting", version=v).count() for v in (1, 2, 3, 4)] == [2, 3, 0, 0]
 
 
+def test_replay_stream_takes_a_damaged_copy_after_its_intact_one(spark, tmp_path):
+    change = lambda op, key, scn, whole=True: (op, None, ('{"N":%d}' % scn if whole else '{"N"') if op != "d" else None, str(scn), scn, key)
+    batches = [
+        [change("c", "a", 1), change("c", "b", 2)],
+        [change("c", "b", 2, whole=False), change("u", "a", 3)],
+        [change("c", "b", 2, whole=False), change("c", "d", 1, whole=False), change("c", "c", 4)],
+        [change("c", "d", 1), change("u", "d", 5)],
+    ]
+    store = Store(spark, str(tmp_path / "store"), buckets=3, keep_versions=20)
+    run(jobs.replayed(staged(spark, f"{tmp_path}/in", batches), "id", "scn", store, "s", f"{tmp_path}/c", available=True))
+    seen = [{r.key: r.transaction for r in store.read("s", version=v).collect()} for v in (1, 2, 3, 4)]
+    assert seen[0] == {"a": 1, "b": 2}
+    assert seen[1] == {"a": 3, "b": 2}
+    assert seen[2] == {"a": 3, "b": 2}  # the change of d is new and damaged, so it holds
+    assert seen[3] == {"a": 3, "b": 2, "c": 4, "d": 5}
+    assert [store.read("s_waiting", version=v).count() for v in (1, 2, 3, 4)] == [0, 0, 2, 0]
+
+
 def test_replay_stream_holds_at_missing_numbers(spark, tmp_path):
     change = lambda key, scn: ("c", None, "{}", str(scn), scn, key)
     store = Store(spark, str(tmp_path / "store"), buckets=2, keep_versions=20)

@@ -166,6 +166,19 @@ def periods(records: DataFrame, period: str, arrived_ms: str, groups: Sequence[s
     return start(records, work, checkpoint, name, **how)
 
 
+#: What tells a change of the replay from others; copies of one change share it.
+CHANGE = ["transaction", "key", "position"]
+
+
+def without_known_damage(changes: DataFrame, store: Store, exposed: str) -> DataFrame:
+    """The changes without damaged copies of those in the table ``exposed``."""
+    damaged = changes.filter(~F.col("intact"))
+    # At most `buckets` numbers.
+    touched = [r.b for r in damaged.select(store.bucket(CHANGE).alias("b")).distinct().collect()]
+    known = store.read(exposed, touched) if touched else None
+    return changes if known is None else changes.filter("intact").unionByName(damaged.join(known, CHANGE, "left_anti").select(*changes.columns))
+
+
 def replayed(feed: DataFrame, key: str, transaction: str, store: Store, table: str, checkpoint: str, first: int | None = None, payload: Sequence[str] = ("after",), **how) -> StreamingQuery:
     """The replay of :mod:`tidemark.operators.replay` batch by batch: ``key, op, transaction, position, payload``, deleted keys among them.
 
@@ -174,12 +187,14 @@ def replayed(feed: DataFrame, key: str, transaction: str, store: Store, table: s
     feed not yet exposed, and joins the next batch; both tables and the next expected
     number change in one commit. first: the first number, where transactions are
     numbered without gaps. Deleted keys stay as rows with op d, so that an older change
-    that comes late can't bring them back.
+    that comes late can't bring them back. ``<table>_exposed`` names every change exposed
+    so far, so that a damaged copy that comes after its intact one doesn't hold the state;
+    it grows with the feed, without images, and only buckets with damaged copies are looked up.
     """
     name = how.pop("name", f"replayed_{table}")
 
     def work(batch: DataFrame, number: int) -> None:
-        every = replay.prepare(batch, key, transaction, payload=payload)
+        every = without_known_damage(replay.prepare(batch, key, transaction, payload=payload), store, f"{table}_exposed")
         waiting = store.read(f"{table}_waiting")
         every = (every if waiting is None else every.unionByName(waiting)).persist()
         try:
@@ -194,6 +209,7 @@ def replayed(feed: DataFrame, key: str, transaction: str, store: Store, table: s
             now = replay.replay(every.filter(ready), keep_deleted=True)
             merges[table] = (now, ["key"], lambda old, new: merge.upsert_newer(old, new, ["key"], "position"))
             merges[f"{table}_waiting"] = (every.filter(~ready).distinct(), ["key"], None)
+            merges[f"{table}_exposed"] = (every.filter(ready & F.col("intact")).select(*CHANGE).distinct(), CHANGE, lambda old, new: old.unionByName(new).distinct())
             store.commit(ledger_name(batch, name, checkpoint), number, merges)
         finally:
             every.unpersist()
