@@ -124,6 +124,29 @@ def test_interval_stream_matches_and_gives_up(spark, tmp_path):
     assert {r.id: r.id_right for r in batch.collect()} == got
 
 
+def test_deletes_take_balances_away(spark, tmp_path):
+    base = dt.datetime(2026, 1, 1)
+    at = lambda m: base + dt.timedelta(minutes=m)
+    schema = "op string, k string, id string, offset long, timestamp timestamp"
+    flush = [("c", "z", f"z{m}", 90 + m, at(m)) for m in (60, 120, 180)]
+    left = [("c", "a", "t1", 1, at(0)), ("d", "a", "t1", 2, at(1)), ("c", "a", "t2", 3, at(3)), ("d", "a", "t2", 4, at(3)), ("d", "a", "t4", 5, at(3)), ("c", "a", "t4", 6, at(4)), ("c", "b", "t3", 7, at(4)), ("d", "a", "t5", 8, at(4)), *flush]
+    right = [("c", "a", "x1", 1, at(0)), *[("c", "w", f"w{n}", 2 + n, at(1)) for n in range(5)], ("c", "a", "x2", 8, at(5)), ("d", "b", "x3", 9, at(5)), *[(f[0], "y", *f[2:]) for f in flush]]
+    streams = []
+    for name, data in (("l", left), ("r", right)):
+        for n in range(len(data)):
+            spark.createDataFrame([data[n]], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}/part{n:02d}")
+            for f in os.listdir(f"{tmp_path}/{name}/part{n:02d}"):
+                os.utime(f"{tmp_path}/{name}/part{n:02d}/{f}", (1_700_000_000 + n, 1_700_000_000 + n))
+        streams.append(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}/*"))
+    store = Store(spark, str(tmp_path / "store"), buckets=2, keep_versions=40)
+    run(jobs.balances(*streams, "k", "id", "5 minutes", store, "s", "dead", f"{tmp_path}/c", available=True))
+    at_version = [{r.l_id: r.r_id for r in t.collect()} for v in store._versions() if (t := store.read("s", version=v)) is not None]
+    assert at_version[0] == {"t1": "x1"} and {} in at_version  # t1 was there and is taken away
+    assert at_version[-1] == {"t4": "x2"}  # t2's match comes after its delete; t4 was written anew after its delete
+    dead = {(r.l_id, r.l_op) for r in store.read("dead").collect()}
+    assert ("t3", "c") in dead and not {x for x in dead if x[1] == "d"}
+
+
 def test_store_versions_and_conflicts(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"), buckets=2, keep_versions=2)
     assert store.read("t") is None and store.manifest()["version"] == 0

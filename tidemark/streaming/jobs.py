@@ -120,25 +120,51 @@ def interval(left: DataFrame, right: DataFrame, on: str, delay: str) -> DataFram
 def balances(transactions: DataFrame, accounts: DataFrame, on: str, key: str, delay: str, store: Store, table: str, dead: str, checkpoint: str, **how) -> StreamingQuery:
     """Each transaction with the first account state up to ``delay`` later; without one, a dead letter. Both sides are parsed changes.
 
-    Deletes of transactions take their row away in the same commit that adds others.
+    Writes only are joined, of either side; without a column ``op`` all rows are writes. Deletes of
+    transactions take their row away in the same commit that adds others, and stay by offset in
+    ``<table>_deleted``, so that an older write that finds its match late can't bring the row
+    back. Dead letters are left to their own states, but a delete never becomes one.
     """
     name = how.pop("name", f"balances_{table}")
+    id_, order = f"l_{key}", ["r_timestamp", "r_offset"]
+    writes = lambda side: side.filter(F.col("op").isin(*WRITES)) if "op" in side.columns else side
+    joined = interval(writes(transactions), writes(accounts), on, delay)
+    if with_deletes := "op" in transactions.columns:
+        deletes = transactions.filter((F.col("op") == DELETE) & F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
+        joined = joined.unionByName(deletes.select(F.col("op").alias("l_op"), F.col("offset").alias("l_offset"), F.col(key).alias(id_)), allowMissingColumns=True)
 
-    def earliest(old: DataFrame, new: DataFrame) -> DataFrame:
-        return dedup.keep_first(old.unionByName(new), [f"l_{key}"], ["r_timestamp", "r_offset"])
+    def latest(old: DataFrame, new: DataFrame) -> DataFrame:
+        return old.unionByName(new).groupBy(id_).agg(F.max("deleted").alias("deleted"))
 
     def work(batch: DataFrame, number: int) -> None:
         found = batch.persist()
         try:
-            hit, lost = found.filter(F.col("r_timestamp").isNotNull()), found.filter(F.col("r_timestamp").isNull())
-            store.commit(ledger_name(batch, name, checkpoint), number, {
-                table: (dedup.keep_first(hit, [f"l_{key}"], ["r_timestamp", "r_offset"]), [f"l_{key}"], earliest),
-                dead: (dedup.keep_last(lost, [f"l_{key}"], ["l_offset"]), [f"l_{key}"], lambda old, new: merge.insert_absent(old, new, [f"l_{key}"])),
-            })
+            gone = found.filter(F.col("l_op") == DELETE) if with_deletes else found.limit(0)
+            written = found.filter(F.col("l_op") != DELETE) if with_deletes else found
+            now = gone.select(id_, F.col("l_offset").alias("deleted"))
+            before = store.read(f"{table}_deleted")
+            deleted = latest(now if before is None else before, now)
+
+            def alive(rows: DataFrame) -> DataFrame:
+                both = rows.join(deleted, id_, "left")
+                return both.filter(F.col("deleted").isNull() | (F.col("l_offset") > F.col("deleted"))).select(*rows.columns)
+
+            def earliest(old: DataFrame, new: DataFrame) -> DataFrame:
+                new = new.filter(F.col("l_op") != DELETE) if with_deletes else new
+                return dedup.keep_first(alive(old.unionByName(new)), [id_], order)
+
+            hit, lost = written.filter(F.col("r_timestamp").isNotNull()), written.filter(F.col("r_timestamp").isNull())
+            merges = {
+                table: (hit.unionByName(gone), [id_], earliest),
+                dead: (dedup.keep_last(lost, [id_], ["l_offset"]), [id_], lambda old, new: merge.insert_absent(old, new, [id_])),
+            }
+            if with_deletes:
+                merges[f"{table}_deleted"] = (now, [id_], latest)
+            store.commit(ledger_name(batch, name, checkpoint), number, merges)
         finally:
             found.unpersist()
 
-    return start(interval(transactions, accounts, on, delay), work, checkpoint, name, **how)
+    return start(joined, work, checkpoint, name, **how)
 
 
 def totals(feed: DataFrame, row_type: T.StructType, groups: Sequence[str], amount: str, required: Sequence[str], parts: dict[str, Column], store: Store, table: str, checkpoint: str, **how) -> StreamingQuery:
