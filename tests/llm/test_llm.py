@@ -67,6 +67,16 @@ def test_forms(spark):
     assert canon(spark, got) == got
 
 
+def test_forms_of_canonically_equivalent_spellings(spark):
+    singles = sorted([*canonical.tables()["several"], "\u1fcb", "\u1fdb"])  # the last two become accented capitals by NFC
+    spelled = [(c, unicodedata.normalize("NFD", c), unicodedata.normalize("NFD", c)[:1] + "\u200d" + unicodedata.normalize("NFD", c)[1:]) for c in singles]
+    texts = [f"a{x}b" for three in spelled for x in three]
+    got = canon(spark, texts)
+    assert [t for i, t in enumerate(texts) if got[i] != got[i - i % 3]] == []
+    assert canon(spark, got) == got
+    assert got[texts.index("a\u0443\u0306b")] == "ay\u0306b"
+
+
 def test_null_empty_long_and_clashing_columns(spark):
     assert canon(spark, [None, "", "​", "ａ" * 300_000]) == [None, "", "", "a" * 300_000]
     df = spark.createDataFrame([(1, "ｘ", "old", 2)], "`a b` int, text string, canonical string, batch int")

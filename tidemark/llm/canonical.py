@@ -81,6 +81,7 @@ def sql(column: str = "text") -> str:
 
     Plain ASCII needs no work but tabs, so the rest runs only where a text has
     more. Hidden characters go first, so that a mark behind one joins its letter.
+    What becomes several characters is looked for after that, as it may come out of a letter and its mark.
     """
     t = tables()
     shown = f"regexp_replace({column}, '[{_in_class(t['hidden'])}]', '', 'g')"
@@ -89,7 +90,7 @@ def sql(column: str = "text") -> str:
     ligatures = alike
     for a, b in t["several"].items():
         ligatures = f"replace({ligatures}, {_quoted(a)}, {_quoted(b)})"
-    some = f"regexp_matches({column}, '[{_in_class(''.join(t['several']))}]')"
+    some = f"regexp_matches({alike}, '[{_in_class(''.join(t['several']))}]')"
     rest = f"CASE WHEN {some} THEN nfc_normalize({ligatures}) ELSE nfc_normalize({alike}) END"
     ascii_only = f"regexp_matches({column}, '^[\\x00-\\x7F]*$')"
     return f"replace(CASE WHEN {ascii_only} THEN replace({column}, chr(9), ' ') ELSE {rest} END, chr(13) || chr(10), chr(10))"
