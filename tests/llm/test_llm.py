@@ -77,6 +77,11 @@ def test_forms_of_canonically_equivalent_spellings(spark):
     assert got[texts.index("a\u0443\u0306b")] == "ay\u0306b"
 
 
+def test_look_alikes_in_both_cases(spark):
+    pairs = [("\u051b\u051d\u04af", "qwy"), ("\u051a\u051c\u04ae", "QWY"), ("\u04c0", "I"), ("\u04cf", "l"), ("\u03f2\u03f3", "cj"), ("\u03f9\u037f", "CJ")]
+    assert canon(spark, [a for a, _ in pairs]) == [b for _, b in pairs]
+
+
 def test_null_empty_long_and_clashing_columns(spark):
     assert canon(spark, [None, "", "​", "ａ" * 300_000]) == [None, "", "", "a" * 300_000]
     df = spark.createDataFrame([(1, "ｘ", "old", 2)], "`a b` int, text string, canonical string, batch int")

@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemark.session import cut_lineage
 
 # Letters of other scripts that are drawn like a Latin letter, and that letter.
-CYRILLIC = "АВЕЅІЈКМНОРСТУХҮ" "аеорсухіјѕһԁԛԝӏ"
-CYRILLIC_AS = "ABESIJKMHOPCTYXY" "aeopcyxijshdqwl"
-GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ" "οϲϳν"
-GREEK_AS = "ABEZHIKMNOPTYX" "ocjv"
+CYRILLIC = "АВЕЅІЈКМНОРСТУХҮԚԜӀ" "аеорсухіјѕһԁԛԝӏү"
+CYRILLIC_AS = "ABESIJKMHOPCTYXYQWI" "aeopcyxijshdqwly"
+GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ" "οϲϳν"
+GREEK_AS = "ABEZHIKMNOPTYXCJ" "ocjv"
 # Line ends and the control characters that show nothing.
 TAB, RETURN = "\t", "\r"
 
