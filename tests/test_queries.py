@@ -39,3 +39,13 @@ def test_every_customer_is_joined(spark, folder, oracle):
     kinds = f"SELECT CASE WHEN account_id IS NULL THEN 'right' WHEN customer_name IS NULL THEN 'left' ELSE 'both' END AS kind, count(*) AS n FROM ({pairs}) GROUP BY ALL"
     assert not any(compare(ALL["join_methods"](spark, folder).filter("method = 'key'").select("kind", "n"), kinds, oracle)[2:])
     assert ALL["dead_letter_share"](spark, folder).first().customer == oracle.execute(f"SELECT count(*) FROM ({lost})").fetchone()[0]
+
+
+def test_coverage_shows_the_dead_letters_of_both_joins(spark, folder, oracle):
+    """The rows and columns of its SQL, and beside them the transactions of the source that found no balance."""
+    rows = ALL["coverage"](spark, folder)
+    assert "balance_dead_letter" in rows.columns
+    columns, names, more, less = compare(rows.drop("balance_dead_letter"), SQL["coverage"], oracle)
+    assert columns == names and not more and not less
+    balance = f"SELECT transaction_id FROM ({SQL['coverage']}) WHERE NOT with_balance AND transaction_id IN (SELECT transaction_id FROM t24_transactions)"
+    assert not any(compare(rows.filter("balance_dead_letter").select("transaction_id"), balance, oracle)[2:])

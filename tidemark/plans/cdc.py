@@ -387,8 +387,12 @@ def time_skew(spark, d):
 
 
 def coverage(spark, d):
-    """Transactions of the mirror that lack the branch or the balance, and which."""
-    parts = {"enriched": enrich_branch(spark, d), "with_balance": joins.first_match(*_timed(spark, d), "account_id", "transaction_id", "at", "acct_at", DELAY_MS, "version_id", how="inner").select("transaction_id"), "dead_letter": _dead(spark, d)}
+    """Transactions of the mirror that lack the branch or the balance, and which, and whether they are dead letters of either join."""
+    found = joins.first_match(*_timed(spark, d), "account_id", "transaction_id", "at", "acct_at", DELAY_MS, "version_id").select("transaction_id", "version_id")
+    parts = {
+        "enriched": enrich_branch(spark, d), "with_balance": found.filter(F.col("version_id").isNotNull()),
+        "dead_letter": _dead(spark, d), "balance_dead_letter": found.filter(F.col("version_id").isNull()),
+    }
     rows = joins.coverage(table(spark, d, "t24_transactions_target").select("transaction_id", "branch_code", "account_id"), "transaction_id", parts)
     return rows.filter(~F.col("enriched") | ~F.col("with_balance"))
 
