@@ -65,6 +65,37 @@ def test_replay_waits_for_announced_changes_and_numbers(spark):
     assert [r.key for r in gap.collect()] == ["a"]
 
 
+def in_one_transaction(spark, feed, ordinal=None, size=None, **how):
+    """The keys and ops after a feed of (op, key, commit, n, whole), all of a commit at one time."""
+    image = lambda n, whole: '{"N":%d}' % n if whole else '{"N"'
+    data = [(op, None if op == "c" else image(n - 1, whole or op != "d"), None if op == "d" else image(n, whole), "5", scn, key, n) for op, key, scn, n, whole in feed]
+    prepared = replay.prepare(spark.createDataFrame(data, "op string, before string, after string, ts_ms string, source_scn long, msg_key string, n int"), "msg_key", "source_scn", ordinal=ordinal)
+    done = replay.assemble(prepared, None if size is None else F.lit(size))
+    return {(r.key, r.op) for r in replay.replay(prepared, done, **how).collect()}, sorted((r.changes, r.complete) for r in done.collect())
+
+
+@pytest.mark.parametrize("ordinal", [None, "n"])
+def test_replay_of_several_changes_of_a_key_in_one_transaction(spark, ordinal):
+    life = [("c", "a", 1, 1, True), ("u", "a", 1, 2, True), ("d", "a", 1, 3, True)]
+    for seed in range(3):
+        shuffled = life * 2
+        random.Random(seed).shuffle(shuffled)
+        assert in_one_transaction(spark, shuffled, ordinal) == (set(), [(3, True)])
+        assert in_one_transaction(spark, shuffled, ordinal, size=3, keep_deleted=True) == ({("a", "d")}, [(3, True)])
+    assert in_one_transaction(spark, life[:2], ordinal, size=3) == (set(), [(2, False)])
+    assert in_one_transaction(spark, life[:2], ordinal) == ({("a", "u")}, [(2, True)])
+    damaged = [*life[:2], ("u", "a", 1, 2, False)]
+    assert in_one_transaction(spark, damaged, ordinal, size=2) == ({("a", "u")}, [(2, True)])
+    assert in_one_transaction(spark, damaged, ordinal, size=3) == (set(), [(2, False)])
+    assert in_one_transaction(spark, [life[0], ("u", "a", 1, 2, False)], ordinal) == (set(), [(2, False)])
+
+
+def test_replay_ordinal_decides_where_a_row_is_written_anew(spark):
+    again = [("d", "a", 1, 1, True), ("c", "a", 1, 2, True), ("u", "a", 1, 3, True), ("u", "a", 1, 4, True)]
+    assert in_one_transaction(spark, again, "n", size=4) == ({("a", "u")}, [(4, True)])
+    assert in_one_transaction(spark, again[:2], "n") == ({("a", "c")}, [(2, True)])
+
+
 @pytest.mark.parametrize("missing", [1, 2, 17, 100, 999, 1000])
 def test_first_gap(spark, missing):
     numbers = spark.range(1, 1001).filter(F.col("id") != missing)
@@ -98,9 +129,53 @@ def test_late_borders_and_merge(spark):
     assert rows(late.combine(late.partials(admitted, ["d", "g"], "amount"), ["d", "g"], as_of_batch=end // late.DAY_MS - 1).select("n", "late_n")) == [(1, 0)]
 
 
+def test_late_records_come_from_the_store(spark):
+    """Batches of half a day, null groups and records without a period, against classifying each record."""
+    rng, day0 = random.Random(8), dt.date(2026, 1, 1)
+    base = 1767225600000
+    data = [(i, None if rng.random() < 0.05 else day0 + dt.timedelta(days=rng.randrange(3)), None if rng.random() < 0.05 else base + rng.randrange(8 * late.DAY_MS), rng.choice([None, "x", "y"])) for i in range(400)]
+    data += [(1000 + i, day0, base + late.DAY_MS + t, "x") for i, t in enumerate((-1, 0, 1, 72 * 3_600_000 - 1, 72 * 3_600_000))]
+    df = spark.createDataFrame(data, "i int, d date, t long, g string").withColumn("amount", F.lit(1).cast("decimal(18,2)"))
+    half = late.DAY_MS // 2
+    batches = late.placed(df, "d", "t", half)
+    store = late.partials_of_batches(batches, "d", ["g"], "amount", 72, half)
+    got = late.records_of(store.filter(F.col("lateness") != late.ON_TIME), batches, "d", ["g"])
+    admitted = late.admit(df, "d", "t", 72, half)
+    assert rows(got.select("i", "lateness")) == rows(admitted.filter("lateness in ('late', 'too_late')").select("i", "lateness"))
+    assert rows(store.select("d", "g", "arrival_batch", "lateness", "n")) == rows(late.partials(admitted, ["d", "g"], "amount").select("d", "g", "arrival_batch", "lateness", "n"))
+    assert late.records_of(store.limit(0), batches, "d", ["g"]).count() == 0
+    with pytest.raises(ValueError):
+        late.partials_of_batches(batches, "d", ["g"], "amount", 72, 7 * 3_600_000)
+
+
 # Skew.
 
 
+def test_shares_below_the_sketch_are_counted(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") < 3, "few").otherwise(F.col("id").cast("string")).alias("k"))
+    share = 2.5 / 30_000
+    assert share < skew.least_share()
+    assert rows(skew.heavy_keys(df, "k", share)) == [("few", 3, 30_000)]
+    with pytest.raises(ValueError):
+        skew.candidates(df, ["k"], share)
+
+
+def test_heavy_values_of_several_keys_in_one_pass(spark):
+    df = spark.createDataFrame([(1 if i < 60 else i, "x" if i % 2 else None, 2.5) for i in range(100)], "a long, b string, c double")
+    got = skew.heavy(df, ["a", "b", "c"], 0.3)
+    assert rows(got) == [("a", "1", 60, 100), ("b", "x", 50, 100), ("c", "2.5", 100, 100)]
+    assert skew.heavy(df.limit(0), ["a", "b"], 0.3).count() == 0
+
+
+def test_wide_partners_are_not_broadcast(spark):
+    left = spark.createDataFrame([("hot", i) for i in range(60)] + [(f"k{i}", i) for i in range(9)], "k string, v int")
+    wide = spark.createDataFrame([("hot", "y" * 5000)], "k string, w string")
+    plan = lambda most: skew.join_by_key(left, wide, "k", 0.2, most_broadcast=most)._jdf.queryExecution().optimizedPlan().toString()
+    assert skew.measured_bytes(wide) > 5000
+    assert "__salt" in plan(4000) and "__salt" not in plan(6000)
+    assert skew.join_by_key(left, wide, "k", 0.2, most_broadcast=4000).count() == 60
+
+
 def test_heavy_keys_are_exact(spark):
     data = [("a",)] * 50 + [("b",)] * 2 + [(None,)] * 8 + [(f"k{i}",) for i in range(40)]
     df = spark.createDataFrame(data, "k string")
@@ -156,9 +231,80 @@ def test_redelivered_uses_hash_aggregation(spark):
     assert "HashAggregate(keys=[id" in plan and "SortAggregate" not in plan
 
 
+@pytest.mark.parametrize("order", [["at", "off"], ["on", "at", "off"], ["off2", "at", "off"]])
+def test_redelivered_for_any_order(spark, order):
+    """Times, dates and 64-bit numbers with nulls; orders beyond one packed number too. Against sorting, and always by hash aggregation."""
+    rng, base = random.Random(len(order)), dt.datetime(2026, 1, 1)
+    some = lambda x: None if rng.random() < 0.2 else x
+    data = [(f"k{rng.randrange(40)}", some(base + dt.timedelta(microseconds=rng.randrange(3))), some(base.date() - dt.timedelta(days=rng.randrange(3))), some(rng.choice([-(2**63), 2**63 - 1, 0])), i - 150) for i in range(300)]
+    df = spark.createDataFrame(data, "id string, at timestamp, on date, off2 long, off long")
+    names = ["id", "at", "on", "off2", "off"]
+    place = lambda r: [(r[names.index(c)] is None, r[names.index(c)] or 0) if r[names.index(c)] is not None else (True, 0) for c in order]
+    kept = {}
+    for r in data:
+        if r[0] not in kept or place(r) < place(kept[r[0]]):
+            kept[r[0]] = r
+    got = dedup.redelivered(df, ["id"], "off", order)
+    assert sorted(r.off for r in got.collect()) == sorted(r[4] for r in data if kept[r[0]] is not r)
+    assert rows(dedup.keep_first(df, ["id"], order)) == sorted(kept.values(), key=repr)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[id" in plan and "SortAggregate" not in plan
+
+
+def test_redelivered_wants_numbers_and_times(spark):
+    with pytest.raises(TypeError, match="string"):
+        dedup.redelivered(spark.createDataFrame([("a", "b", 1)], "id string, s string, off long"), ["id"], "off", ["s", "off"])
+
+
+def test_keep_first_with_columns_that_have_no_order(spark):
+    df = spark.createDataFrame([("a", 2, {"x": 1}), ("a", 1, {"y": 2}), ("b", None, None)], "id string, at int, m map<string,int>")
+    assert rows(dedup.keep_first(df, ["id"], ["at"])) == [("a", 1, {"y": 2}), ("b", None, None)]
+    assert rows(dedup.keep_last(df, ["id"], ["at"])) == [("a", 2, {"x": 1}), ("b", None, None)]
+
+
 # Attributes as known.
 
 
+def test_rectangles_are_disjoint_and_whole(spark):
+    """Every point of a small plane is in exactly one rectangle, that of the best version known there, or in none."""
+    rng = random.Random(4)
+    for many in (1, 2, 7, 30):
+        placed = [(rng.randrange(6), rng.randrange(6), i) for i in range(many)]
+        df = spark.createDataFrame([([(r, v, (v, r, i)) for r, v, i in placed],)], "placed array<struct<recorded:bigint,valid:bigint,version:struct<valid:bigint,recorded:bigint,tie:int>>>")
+        rects = df.select(bitemporal._rectangles(F.col("placed"), "struct<valid:bigint,recorded:bigint,tie:int>")).first()[0]
+        assert len(rects) <= 2 * many
+        for v in range(7):
+            for r in range(7):
+                inside = [x.version.tie for x in rects if x.left <= v < x.right and x.low <= r < x.high]
+                fit = [(pv, pr, i) for pr, pv, i in placed if pv <= v and pr <= r]
+                assert inside == ([max(fit)[2]] if fit else [])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_as_known_off_the_diagonal(spark, seed):
+    rng = random.Random(seed)
+    base = dt.datetime(2026, 1, 1)
+    when = lambda: None if rng.random() < 0.03 else base + dt.timedelta(hours=rng.randrange(300))
+    key = lambda: None if rng.random() < 0.03 else "hot" if rng.random() < 0.6 else f"e{rng.randrange(5)}"
+    versions = [(i, key(), when(), when()) for i in range(150)]
+    events = [(i, key(), when(), when()) for i in range(300)] + [(900, "hot", base - dt.timedelta(days=9), base), (901, "hot", base + dt.timedelta(days=900), base + dt.timedelta(days=9))]
+    v = spark.createDataFrame(versions, "id long, e string, valid timestamp_ntz, seen timestamp_ntz")
+    e = spark.createDataFrame(events, "n long, e string, t timestamp_ntz, k timestamp_ntz")
+    got = bitemporal.as_known(e, v, "e", "t", "valid", "seen", "id", ["id"], known_time="k", cell_micros=3_600_000_000 * rng.choice([3, 50, 5000]), heavy_share=0.2, per_cell=6, events_per_cell=rng.choice([5, 1000]))
+    want = []
+    for n, k, t, known in events:
+        fit = [x for x in versions if None not in (k, t, known, x[2], x[3]) and x[1] == k and x[2] <= t and x[3] <= known]
+        want += [(n, max(fit, key=lambda x: (x[2], x[3], x[0]))[0])] if fit else []
+    assert rows(got.select("n", "id")) == sorted(want, key=repr)
+
+
+def test_entities_heavy_in_events_or_versions_get_a_finer_grid(spark):
+    entities = lambda counts: spark.createDataFrame([(e,) for e, n in counts.items() for _ in range(n)], "entity string")
+    versions, points = entities({"a": 2, "b": 80, "c": 2}), entities({"a": 800, "b": 10, "c": 10})
+    got = bitemporal.cell_widths(versions, points, F.lit(1_000_000), 500_000, 0.1, 8, 100)
+    assert rows(got) == [("a", 125_000), ("b", 100_000)]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_as_known_against_brute_force(spark, seed):
     rng = random.Random(seed)
@@ -228,6 +374,23 @@ def test_equal_buckets_are_not_joined(spark):
     assert rows(diff.differences(a.select("k"), b.select("k").filter("k <> '3'"), "k")) == [("3", "*", "missing_in_target")]
 
 
+@pytest.mark.parametrize("most", [1, 1 << 30])
+def test_unequal_buckets_are_split_again(spark, most):
+    a = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id").cast("string")).alias("k"), F.col("id").alias("v"), F.lit("x").alias("w"))
+    b = a.filter("v <> 11").withColumn("v", F.when(F.col("v").isin(7, 0, 2900), -1).otherwise(F.col("v")))
+    b = b.unionByName(spark.createDataFrame([("new", 1, "x")], b.schema))
+    want = sorted([("7", "v", "differs"), (None, "v", "differs"), ("2900", "v", "differs"), ("11", "*", "missing_in_target"), ("new", "*", "missing_in_source")], key=repr)
+    for settle in (None, diff.Settle(("v",))):
+        got = diff.differences(a, b, "k", buckets=4, settle=settle, rows=3000, rows_per_bucket=16, most_broadcast=most)
+        assert rows(got) == want
+    keyed = [diff._keyed(x, "k", F.col("v"), F.col("w")) for x in (a, b)]
+    cells = diff.unequal_cells(*keyed, ["v", "w"], 4)
+    assert cells.count() >= 3  # most of the buckets, and so most of the rows
+    parts = diff.unequal_parts(*keyed, ["v", "w"], 4, cells, 16)
+    assert parts.count() == 5 and parts.filter("size(__unequal) = 1").count() == 3
+    assert diff.differences(a, a, "k", buckets=4, rows=3000).count() == 0 and diff.differences(a.limit(0), a.limit(0), "k", buckets=1, rows=33).count() == 0
+
+
 # Histories.
 
 

@@ -1,13 +1,14 @@
 """One row per identifier: redelivered messages, latest and earliest rows.
 
-All functions here are one aggregation by identifier with ``min_by`` or
-``max_by`` over a struct, so copies are combined before the shuffle and an
+All functions here are one aggregation by identifier over a struct of delivery
+time and tie-break, so copies are combined before the shuffle and an
 identifier that holds a large part of all rows never meets in one task as rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -19,11 +20,42 @@ def _identified(ids: Sequence[str]) -> Column:
     return known
 
 
-def _hash_of_row(df: DataFrame) -> Column:
-    """A last tie-break that depends on nothing but the row's values."""
-    plain = [F.col(f"`{f.name}`") if not isinstance(f.dataType, (T.MapType, T.VariantType)) else F.to_json(F.col(f"`{f.name}`")) for f in df.schema]
-    nulls = [F.col(f"`{f.name}`").isNull() for f in df.schema]
-    return F.xxhash64(*nulls, *plain)
+#: The bits a value of an order needs as a whole number; Spark's times, of the years 1 to 9999, need 59.
+_BITS = {T.BooleanType: 1, T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.DateType: 32, T.LongType: 64, T.TimestampType: 59, T.TimestampNTZType: 59}
+#: The bits of the widest number that hash aggregation updates in place.
+_ROOM, _NUMBER = 126, "decimal(38,0)"
+
+
+def _whole(df: DataFrame, name: str) -> tuple[Column, int]:
+    kind, c = df.schema[name].dataType, F.col(name)
+    if type(kind) not in _BITS:
+        raise TypeError(f"{name} is {kind.simpleString()}; an order of deliveries is of whole numbers, dates or times")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        c = F.unix_micros(c.cast("timestamp"))
+    elif isinstance(kind, T.DateType):
+        c = F.unix_date(c)
+    return c.cast("bigint"), _BITS[type(kind)]
+
+
+def packed(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """The columns of ``order`` (delivery time, then what breaks its ties) as a number, nulls last.
+
+    It is the struct of them with each field in bits of its own, so it compares as the
+    struct does, but hash aggregation updates it in place where a struct makes Spark
+    sort. 126 bits hold a time and a 64-bit number; of longer orders the rest comes in further numbers.
+    """
+    numbers: list[Column] = []
+    room = 0
+    for name in order:
+        value, bits = _whole(df, name)
+        shifted = F.coalesce(value.cast(_NUMBER) + F.lit(Decimal(1 << (bits - 1))), F.lit(Decimal(1 << bits))).cast(_NUMBER)
+        room -= bits + 1
+        if numbers and room >= 0:
+            numbers[-1] = (numbers[-1] * F.lit(Decimal(1 << (bits + 1))) + shifted).cast(_NUMBER)
+        else:
+            numbers.append(shifted)
+            room = _ROOM - bits - 1
+    return numbers
 
 
 def keep_first(df: DataFrame, ids: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -49,20 +81,28 @@ def keep_last(df: DataFrame, ids: Sequence[str], order: Sequence[str]) -> DataFr
     return _one_of_each(df.filter(_identified(ids)), ids, order, last=True)
 
 
-def ranking(df: DataFrame, order: Sequence[str], last: bool) -> Column:
-    """A struct that is least for the first row by ``order`` (nulls last) or greatest for the last (nulls first), and differs for different rows."""
-    by = [F.col(name) for name in order] if last else [x for name in order for x in (F.col(name).isNull(), F.col(name))]
-    return F.struct(*[c.alias(f"r{i}") for i, c in enumerate([*by, _hash_of_row(df)])])
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind)
+    return _orderable(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def _one_of_each(df: DataFrame, ids: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
-    columns = df.columns
-    rest = [c for c in columns if c not in ids]
-    payload = F.struct(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(rest)]) if rest else F.struct(F.lit(1).alias("v0"))
-    pick = F.max_by if last else F.min_by
-    picked = df.filter(_identified(ids)).groupBy(*ids).agg(pick(payload, ranking(df, order, last)).alias("__row"))
-    back = {c: F.col(f"__row.v{i}") for i, c in enumerate(rest)}
-    one = picked.select(*[back[c].alias(c) if c in back else F.col(c) for c in columns])
+    """The least (or greatest) struct of order and remaining columns; the struct is both the rank and the row, so each column is carried once.
+
+    Select the columns that are needed before: what is in ``df`` is read and shuffled.
+    """
+    rest = [f for f in df.schema if f.name not in ids and f.name not in order]
+    plain, odd = [f.name for f in rest if _orderable(f.dataType)], [f.name for f in rest if not _orderable(f.dataType)]
+    ordered = [F.col(f"`{name}`").alias(f"o{i}") for i, name in enumerate(order)]
+    flags = [] if last else [F.col(f"`{name}`").isNull().alias(f"n{i}") for i, name in enumerate(order)]
+    by = ordered if last else [x for pair in zip(flags, ordered, strict=True) for x in pair]
+    row = F.struct(*by, *[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(plain)], *[F.to_json(F.col(f"`{c}`")).alias(f"j{i}") for i, c in enumerate(odd)])
+    pick = (F.max if last else F.min)(row).alias("__row")
+    beside = [(F.max_by if last else F.min_by)(F.struct(*[F.col(f"`{c}`").alias(f"u{i}") for i, c in enumerate(odd)]), row).alias("__odd")] if odd else []
+    picked = df.filter(_identified(ids)).groupBy(*ids).agg(pick, *beside)
+    back = {c: F.col(f"__row.o{i}") for i, c in enumerate(order) if c not in ids} | {c: F.col(f"__row.v{i}") for i, c in enumerate(plain)} | {c: F.col(f"__odd.u{i}") for i, c in enumerate(odd)}
+    one = picked.select(*[back[c].alias(c) if c in back else F.col(f"`{c}`") for c in df.columns])
     return one if last else one.unionByName(df.filter(~_identified(ids)))
 
 
@@ -71,19 +111,24 @@ def redelivered(df: DataFrame, ids: Sequence[str], row: str, order: Sequence[str
 
     row: an integer column that is unique to a delivery and the last tie-break
     of ``order``. Returns ``ids`` and ``row``. One hash aggregation by
-    identifier with ``min_by`` and a count finds the kept delivery; only
-    identifiers delivered more than once are joined back to their rows, so
-    identifiers delivered once are shuffled as partial aggregates and no more.
-    A row repeated with the same ``row`` value is surplus too, once for each
-    repetition. Rows without an identifier are never surplus.
+    identifier with a count and ``min_by`` over the packed struct of ``order``
+    (:func:`packed`) finds the kept delivery; only identifiers delivered more than
+    once are joined back to their rows, so identifiers delivered once are
+    shuffled as partial aggregates and no more. A row repeated with the same
+    ``row`` value is surplus too, once for each repetition. Rows without an
+    identifier are never surplus.
     """
     assert list(order)[-1] == row, "the last tie-break must be the delivery itself"
     narrow = df.filter(_identified(ids)).select(*dict.fromkeys([*ids, *order]))
-    if len(order) == 1:  # its own struct of one; as a plain number it is updated in place by hash aggregation
-        by = F.col(row)
-    else:
-        by = F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"n_{c}"), F.col(c).alias(f"v_{c}"))])
-    kept = narrow.groupBy(*ids).agg(F.min_by(F.col(row), by).alias("__kept"), F.count(F.lit(1)).alias("__n"))
+    *firsts, last = packed(narrow, order)
+    count, in_front = F.count(F.lit(1)).alias("__n"), narrow
+    for number in firsts:  # orders longer than one number: of each identifier, the rows that are first so far
+        ranked = in_front.withColumn("__rank", number)
+        best = ranked.groupBy(*ids).agg(F.min("__rank").alias("__best"))
+        in_front = ranked.join(best, list(ids)).filter("__rank = __best").drop("__rank", "__best")
+    kept = in_front.groupBy(*ids).agg(F.min_by(F.col(row), last).alias("__kept"), count)
+    if firsts:
+        kept = kept.drop("__n").join(narrow.groupBy(*ids).agg(count), list(ids))
     several = kept.filter("__n > 1").select(*[F.col(c).alias(f"__{c}") for c in ids], "__kept")
     same = F.lit(True)
     for c in ids:

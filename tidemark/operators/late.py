@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.skew import BROADCAST_BYTES, measured_bytes
+
 DAY_MS = 86_400_000
 ON_TIME, LATE, TOO_LATE = "on_time", "late", "too_late"
 
@@ -37,9 +39,44 @@ def admit(records: DataFrame, period: str, arrived_ms: str, allowed_hours: int =
     return records.withColumn("lateness", arrival(end, F.col(arrived_ms), allowed_hours * 3_600_000)).withColumn("arrival_batch", F.floor(F.col(arrived_ms) / F.lit(batch_ms)).cast("bigint"))
 
 
-def not_on_time(admitted: DataFrame) -> DataFrame:
-    """The admitted records that correct a period or are refused by it."""
-    return admitted.filter(F.col("lateness").isin(LATE, TOO_LATE))
+def placed(records: DataFrame, period: str, arrived_ms: str, batch_ms: int = DAY_MS) -> DataFrame:
+    """Adds ``arrival_batch`` to the records that have a period and an arrival; others belong to no period and are left out."""
+    known = records.filter(F.col(period).isNotNull() & F.col(arrived_ms).isNotNull())
+    return known.withColumn("arrival_batch", F.floor(F.col(arrived_ms) / F.lit(batch_ms)).cast("bigint"))
+
+
+def partials_of_batches(records: DataFrame, period: str, groups: Sequence[str], amount: str, allowed_hours: int = 72, batch_ms: int = DAY_MS) -> DataFrame:
+    """The store's rows from :func:`placed` records: counts and sums of each period, group and arrival batch, and the batch's ``lateness``.
+
+    Records aren't classified one by one: whether a batch comes in time, corrects its
+    period or is refused by it is a matter of the two. So batches must not straddle
+    the end of a period or its cut-off, or ValueError is raised. The result
+    is that of :func:`partials`, in the same form.
+    """
+    allowed_ms = allowed_hours * 3_600_000
+    if DAY_MS % batch_ms or allowed_ms % batch_ms:
+        raise ValueError("arrival batches must divide the day and the hours allowed")
+    end = (F.unix_date(F.col(period)).cast("bigint") + 1) * F.lit(DAY_MS)
+    summed = records.groupBy(period, *groups, "arrival_batch").agg(F.count(F.lit(1)).alias("n"), F.sum(amount).cast("decimal(38,2)").alias("amount"))
+    lateness = arrival(end, F.col("arrival_batch") * F.lit(batch_ms), allowed_ms)
+    return summed.select(period, *groups, "arrival_batch", lateness.alias("lateness"), "n", "amount")
+
+
+def records_of(store: DataFrame, records: DataFrame, period: str, groups: Sequence[str]) -> DataFrame:
+    """The :func:`placed` records behind the store's partials, with their ``lateness``.
+
+    A partial is looked up by period, group and arrival batch, null groups too. The
+    store has a row for each of them however many records there are, and
+    is broadcast if it is measured to be small; else both are shuffled by all three.
+    """
+    keys = [period, *groups, "arrival_batch"]
+    asked = store.select(*[F.col(k).alias(f"__{k}") for k in keys], "lateness")
+    if measured_bytes(asked) <= BROADCAST_BYTES:
+        asked = F.broadcast(asked)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return records.join(asked, same).select(*records.columns, "lateness")
 
 
 def partials(admitted: DataFrame, groups: Sequence[str], amount: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Changes may arrive in any order and number of copies. The replay
 
-1. assembles transactions: copies of a change collapse, and a transaction is
+1. assembles transactions: copies of a change (one transaction, key, position and
+   image) collapse, and a transaction is
    complete once every change of it that is known has an intact copy (and, where
    the feed says how many changes it has, all of them arrived);
 2. holds at gaps: the committed watermark is the position before the first
@@ -23,19 +24,28 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.operators.envelope import DELETE, WRITES, is_json_object
 
 
-def prepare(feed: DataFrame, key: str, transaction: str, time: str = "ts_ms", payload: Sequence[str] = ("after",)) -> DataFrame:
+def prepare(feed: DataFrame, key: str, transaction: str, time: str = "ts_ms", payload: Sequence[str] = ("after",), ordinal: str | None = None) -> DataFrame:
     """The changes of a feed of envelopes as ``replay`` takes them.
 
     Tombstones and other ops are no changes. ``time`` is compared as a number.
     Changes without key, time or transaction have no place in the order and are
     left out. A change is intact if its images are whole JSON objects as far as
     they are there, and a write has its ``after``.
+
+    ordinal: a whole number, the same in all copies of a change, that orders the
+    changes of a transaction (their number in it or their place in the log). Without
+    one, changes of one key in one transaction follow the life of a row: it
+    is written, updated, deleted; what tells them apart is ``image``, a hash of
+    op and images.
     """
-    position = F.struct(F.col(time).try_cast("bigint").alias("at"), F.col(transaction).alias("commit"))
+    nth = F.lit(None).cast("bigint") if ordinal is None else F.col(ordinal).cast("bigint")
+    life = F.when(F.col("op") == DELETE, 2).when(F.col("op") == "u", 1).otherwise(0)
+    position = F.struct(F.col(time).try_cast("bigint").alias("at"), F.col(transaction).alias("commit"), nth.alias("nth"), life.alias("life"))
     whole = F.when(F.col("op").isin(*WRITES), is_json_object(F.col("after"))).otherwise(F.lit(True))
     whole = whole & (F.col("before").isNull() | is_json_object(F.col("before")))
+    image = F.xxhash64("op", F.col("before").isNull(), "before", F.col("after").isNull(), "after") if ordinal is None else F.lit(0).cast("bigint")
     changes = feed.filter(F.col("op").isin(*WRITES, DELETE)).select(
-        F.col(key).alias("key"), F.col(transaction).alias("transaction"), position.alias("position"), "op", whole.alias("intact"), F.struct(*[F.col(c) for c in payload]).alias("payload")
+        F.col(key).alias("key"), F.col(transaction).alias("transaction"), position.alias("position"), "op", image.alias("image"), whole.alias("intact"), F.struct(*[F.col(c) for c in payload]).alias("payload")
     )
     return changes.filter(F.col("key").isNotNull() & F.col("transaction").isNotNull() & F.col("position.at").isNotNull())
 
@@ -43,16 +53,23 @@ def prepare(feed: DataFrame, key: str, transaction: str, time: str = "ts_ms", pa
 def assemble(changes: DataFrame, size: Column | None = None) -> DataFrame:
     """One row for each transaction: ``transaction, first, last`` (positions), ``changes`` and ``complete``.
 
+    Copies are changes of one transaction, key, position and image. A damaged copy
+    can't show its image; it belongs to an intact change of its transaction, key and
+    position if there is one, and is a change that is missing otherwise.
+
     size: the number of changes the feed announces for the transaction, as an
     aggregate-free column of ``changes``; without it, what is known counts.
     """
     announced = F.lit(None).cast("bigint") if size is None else size.cast("bigint")
-    one = changes.withColumn("__size", announced).groupBy("transaction", "key", "position").agg(F.max("intact").alias("intact"), F.max("__size").alias("size"))
+    place = ["transaction", "key", "position"]
+    sized = changes.withColumn("__size", announced)
+    copies = sized.groupBy(*place, F.when(F.col("intact"), F.col("image")).alias("image")).agg(F.max("__size").alias("size"))
+    one = copies.groupBy(*place).agg(F.count("image").alias("intact"), F.max("size").alias("size"))  # the same keys: shuffled once
     return one.groupBy("transaction").agg(
         F.min("position").alias("first"),
         F.max("position").alias("last"),
-        F.count(F.lit(1)).alias("changes"),
-        (F.min("intact") & (F.count(F.lit(1)) >= F.coalesce(F.max("size"), F.lit(0)))).alias("complete"),
+        F.sum(F.greatest("intact", F.lit(1))).alias("changes"),
+        (F.min(F.col("intact") > 0) & (F.sum("intact") >= F.coalesce(F.max("size"), F.lit(0)))).alias("complete"),
     )
 
 
@@ -84,6 +101,14 @@ def first_gap(numbers: DataFrame, column: str, start: int, buckets: int = 65536)
         high = min(high, low + width - 1)
 
 
+def before(position: Column, held) -> Column:
+    """Whether ``position`` is before ``held``, the position in a collected row, or null for no hold."""
+    if held is None:
+        return F.lit(True)
+    at = F.struct(F.lit(held["at"]).cast("bigint").alias("at"), F.lit(held["commit"]).alias("commit"), F.lit(held["nth"]).cast("bigint").alias("nth"), F.lit(held["life"]).cast("int").alias("life"))
+    return position < at
+
+
 def watermark(transactions: DataFrame) -> DataFrame:
     """One row: ``held``, the position of the first change that must wait, or null if all transactions are complete."""
     return transactions.filter(~F.col("complete")).agg(F.min("first").alias("held"))
@@ -104,6 +129,6 @@ def replay(changes: DataFrame, transactions: DataFrame | None = None, sequence_g
     if sequence_gap is not None:
         exposed = exposed.filter(F.col("transaction") < sequence_gap)
     value = F.struct("op", "transaction", "position", "payload")
-    last = exposed.groupBy("key").agg(F.max_by(value, F.struct("position", "op", F.xxhash64("payload"))).alias("v"))
+    last = exposed.groupBy("key").agg(F.max_by(value, F.struct("position", "image", F.xxhash64("payload"))).alias("v"))
     last = last.select("key", "v.*")
     return last if keep_deleted else last.filter(F.col("op") != DELETE)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators import bitemporal, dedup, diff, history, late, replay, skew
 from tidemark.operators.envelope import WRITES, is_json_object
+from tidemark.session import cut_lineage
 from tidemark.sources.tables import table
 
 #: Row image of the transaction feed; times are epoch milliseconds.
@@ -41,7 +42,7 @@ def p1_state(spark: SparkSession, d: str) -> DataFrame:
 
 
 def late_records(spark: SparkSession, d: str) -> DataFrame:
-    """Messages and changes as records of a day, each once: ``row_table, row_key, branch_code, transaction_date, amount, ts_ms``."""
+    """Messages and changes as records of a day, each once, in batches by the day of their arrival: ``row_table, row_key, branch_code, transaction_date, amount, ts_ms, arrival_batch``."""
     rows = table(spark, d, "t24_transactions").select("transaction_id", "branch_code", "transaction_date", "amount", "ts_ms", "kafka_offset")
     rows = dedup.keep_first(rows, ["transaction_id"], ["kafka_offset"])
     rows = rows.select(F.lit("t24_transactions").alias("row_table"), F.col("transaction_id").alias("row_key"), "branch_code", "transaction_date", "amount", "ts_ms")
@@ -53,16 +54,18 @@ def late_records(spark: SparkSession, d: str) -> DataFrame:
     )
     changes = dedup.keep_first(changes, ["source_scn"], ["kafka_offset"])
     changes = changes.select(F.lit("debezium_envelope").alias("row_table"), F.col("source_scn").cast("string").alias("row_key"), "branch_code", "transaction_date", "amount", "ts_ms")
-    return late.admit(rows.unionByName(changes), "transaction_date", "ts_ms", allowed_hours=72)
+    return late.placed(rows.unionByName(changes), "transaction_date", "ts_ms")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return late.not_on_time(late_records(spark, d)).select("row_table", "row_key", "lateness")
+    """The records behind the partials that correct their day or are refused by it. The store is kept, as it is read twice."""
+    store = cut_lineage(p2_partials(spark, d).filter(F.col("lateness") != late.ON_TIME))
+    return late.records_of(store, late_records(spark, d), "transaction_date", ["branch_code"]).select("row_table", "row_key", "lateness")
 
 
 def p2_partials(spark: SparkSession, d: str) -> DataFrame:
     """The store: partial aggregates by day, branch and day of arrival."""
-    return late.partials(late_records(spark, d), ["transaction_date", "branch_code"], "amount")
+    return late.partials_of_batches(late_records(spark, d), "transaction_date", ["branch_code"], "amount", allowed_hours=72)
 
 
 def p2_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -72,8 +75,7 @@ def p2_totals(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "t24_transactions")
-    found = [skew.heavy_keys(rows, c, HEAVY_SHARE).select(F.lit(c).alias("key_name"), F.col(c).alias("key_value")) for c in ("account_id", "branch_code")]
-    return found[0].unionByName(found[1])
+    return skew.heavy(rows, ["account_id", "branch_code"], HEAVY_SHARE).select("key_name", "key_value")
 
 
 def _per_key(spark: SparkSession, d: str, key: str) -> DataFrame:
@@ -101,8 +103,8 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_messages(spark: SparkSession, d: str) -> DataFrame:
     """Exactly one delivery of each message, whole."""
-    kept = dedup.keep_first(table(spark, d, "t24_transactions"), ["transaction_id"], ["kafka_offset"])
-    return kept.select("transaction_id", "account_id", "transaction_date", "amount", "ts_ms", "batch_id", "kafka_offset")
+    rows = table(spark, d, "t24_transactions").select("transaction_id", "account_id", "transaction_date", "amount", "ts_ms", "batch_id", "kafka_offset")
+    return dedup.keep_first(rows, ["transaction_id"], ["kafka_offset"])
 
 
 def p4_batches(spark: SparkSession, d: str) -> DataFrame:
@@ -111,7 +113,8 @@ def p4_batches(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _as_known(spark: SparkSession, d: str, attributes: list[str]) -> DataFrame:
-    events = table(spark, d, "t24_transactions").select("transaction_id", "account_id", "transaction_time").dropDuplicates(["transaction_id"])
+    rows = table(spark, d, "t24_transactions").select("transaction_id", "account_id", "transaction_time", "kafka_offset")
+    events = dedup.keep_first(rows, ["transaction_id"], ["kafka_offset"]).drop("kafka_offset")
     return bitemporal.as_known(events, table(spark, d, "t24_account"), "account_id", "transaction_time", "event_time", "updated_at", "version_id", attributes)
 
 
@@ -124,6 +127,14 @@ def p5_balances(spark: SparkSession, d: str) -> DataFrame:
     return _as_known(spark, d, ["working_balance", "online_actual_bal"]).drop("account_id")
 
 
+def p5_as_booked(spark: SparkSession, d: str) -> DataFrame:
+    """Points off the diagonal: the balance valid at the start of each transaction's booking day, as known when it was committed."""
+    rows = table(spark, d, "t24_transactions").select("transaction_id", "account_id", "transaction_date", F.timestamp_millis("ts_ms").alias("known"), "kafka_offset")
+    events = dedup.keep_first(rows, ["transaction_id"], ["kafka_offset"])
+    found = bitemporal.as_known(events, table(spark, d, "t24_account"), "account_id", "transaction_date", "event_time", "updated_at", "version_id", ["version_id"], known_time="known")
+    return found.select("transaction_id", "version_id")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     sides = [
         ("transactions", "t24_transactions", "t24_transactions_target", "transaction_id", diff.Settle(("kafka_offset",))),
@@ -132,8 +143,8 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     found = []
     for entity, source, target, key, settle in sides:
         copy = table(spark, d, target)
-        buckets = diff.bucket_count(copy.count())  # from the Parquet footers
-        found.append(diff.differences(table(spark, d, source), copy, key, buckets=buckets, settle=settle).withColumn("entity", F.lit(entity)))
+        rows = copy.count()  # from the Parquet footers
+        found.append(diff.differences(table(spark, d, source), copy, key, buckets=diff.bucket_count(rows), settle=settle, rows=rows).withColumn("entity", F.lit(entity)))
     return found[0].unionByName(found[1]).select("entity", "row_key", "field_name", "diff_kind")
 
 
@@ -182,7 +193,7 @@ _VERSIONS = f"""SELECT customer_id, any_value(segment) AS segment, any_value(sta
   FROM (SELECT *, sum(new) OVER (PARTITION BY customer_id ORDER BY snapshot_date) AS island FROM ({_MARKED})) GROUP BY customer_id, island"""
 _HISTORY = f"""SELECT {{columns}} CAST(f AS VARCHAR) AS valid_from, coalesce(CAST(lead(f) OVER (PARTITION BY customer_id ORDER BY f) AS VARCHAR), '9999-12-31') AS valid_to FROM ({_VERSIONS})"""
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_state, p2_found, p2_partials, p2_totals, p3_found, p3_per_account, p3_per_branch, p4_found, p4_messages, p4_batches, p5_found, p5_balances, p6_found, p7_found, p7_history)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_state, p2_found, p2_partials, p2_totals, p3_found, p3_per_account, p3_per_branch, p4_found, p4_messages, p4_batches, p5_found, p5_balances, p5_as_booked, p6_found, p7_found, p7_history)}
 
 SQL = {
     "p1_found": f"SELECT msg_key AS transaction_id, source_scn FROM ({_LAST}) WHERE op <> 'd'",
@@ -202,6 +213,8 @@ SQL = {
     "p4_batches": "SELECT * FROM t24_stream_batch_log QUALIFY row_number() OVER (PARTITION BY job_name, query_id, batch_id ORDER BY log_id) = 1",
     "p5_found": _KNOWN.format(columns="t.transaction_id, a.version_id"),
     "p5_balances": _KNOWN.format(columns="t.transaction_id, t.transaction_time, a.working_balance, a.online_actual_bal"),
+    "p5_as_booked": f"""SELECT t.transaction_id, a.version_id FROM ({_ONCE}) t JOIN t24_account a ON a.account_id = t.account_id AND a.event_time <= t.transaction_date AND a.updated_at <= make_timestamp(t.ts_ms * 1000)
+        QUALIFY row_number() OVER (PARTITION BY t.transaction_id ORDER BY a.event_time DESC, a.updated_at DESC, a.version_id DESC) = 1""",
     "p6_found": _diff_sql("transactions", _ONCE, "t24_transactions_target", "transaction_id", _TX_COLUMNS) + " UNION ALL "
     + _diff_sql("account", "SELECT * FROM t24_account QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY event_time DESC, updated_at DESC, version_id DESC) = 1", "t24_account_target", "account_id", _ACCOUNT_COLUMNS),
     "p7_found": _HISTORY.format(columns="customer_id,"),

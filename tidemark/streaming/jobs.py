@@ -205,7 +205,7 @@ def without_known_damage(changes: DataFrame, store: Store, exposed: str) -> Data
     return changes if known is None else changes.filter("intact").unionByName(damaged.join(known, CHANGE, "left_anti").select(*changes.columns))
 
 
-def replayed(feed: DataFrame, key: str, transaction: str, store: Store, table: str, checkpoint: str, first: int | None = None, payload: Sequence[str] = ("after",), **how) -> StreamingQuery:
+def replayed(feed: DataFrame, key: str, transaction: str, store: Store, table: str, checkpoint: str, first: int | None = None, payload: Sequence[str] = ("after",), ordinal: str | None = None, **how) -> StreamingQuery:
     """The replay of :mod:`tidemark.operators.replay` batch by batch: ``key, op, transaction, position, payload``, deleted keys among them.
 
     feed: a stream of envelopes' fields with ``key`` and ``transaction``. What is at or above the
@@ -220,12 +220,12 @@ def replayed(feed: DataFrame, key: str, transaction: str, store: Store, table: s
     name = how.pop("name", f"replayed_{table}")
 
     def work(batch: DataFrame, number: int) -> None:
-        every = without_known_damage(replay.prepare(batch, key, transaction, payload=payload), store, f"{table}_exposed")
+        every = without_known_damage(replay.prepare(batch, key, transaction, payload=payload, ordinal=ordinal), store, f"{table}_exposed")
         waiting = store.read(f"{table}_waiting")
         every = (every if waiting is None else every.unionByName(waiting)).persist()
         try:
             held = replay.watermark(replay.assemble(every)).first().held
-            ready = F.lit(True) if held is None else F.col("position") < F.struct(F.lit(held["at"]).cast("bigint").alias("at"), F.lit(held["commit"]).alias("commit"))
+            ready = replay.before(F.col("position"), held)
             merges = {}
             if first is not None:
                 next_ = store.read(f"{table}_next")
