@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -45,6 +46,15 @@ def test_envelopes(spark):
     assert [r[0] for r in json.select(envelope.is_json_object(F.col("j"))).collect()] == [True, False, False, False, True]
 
 
+def test_declared_envelopes_and_rows_as_text(spark):
+    df = spark.createDataFrame([(1, '{"op":"c","ts_ms":"5","snapshot":true,"after":{"A":12.50,"B":null}}'), (2, '{"op":"u","ts_ms":7,"snapshot":"false"}'), (3, '{"op":"d","ts_ms":"soon"}')], "offset long, value string")
+    shape = envelope.envelope_schema({"op": "STRING", "after": "STRING", "ts_ms": "LONG", "snapshot": "BOOLEAN"})
+    parsed = envelope.parse_envelope(df, schema=shape)
+    assert rows(parsed.select("offset", "ts_ms", "snapshot")) == [(1, 5, True), (2, 7, False), (3, None, None)]
+    images = spark.createDataFrame([(1, '{"A":431280016.21,"B":"x","C":{"D":1}}'), (2, '{"A":1'), (3, None), (4, "[1]"), (5, "{}")], "offset long, row_data string")
+    assert rows(envelope.text_rows(images, ["A", "B", "C"], keep=("offset",))) == [(1, "431280016.21", "x", '{"D":1}'), (5, None, None, None)]
+
+
 # Folds.
 
 
@@ -171,9 +181,73 @@ def test_distribution_and_ages(spark):
     assert rows(ages) == [(0, 2), (1, 1), (2, 1), (3, 1), (4, 2)]
 
 
+@pytest.mark.parametrize("discrete", [False, True])
+def test_percentiles_against_sorting(spark, discrete):
+    rng = random.Random(6)
+    data = [(rng.choice(["a", "b", None]), rng.choice([rng.uniform(-50, 50), float(rng.randrange(4)), 3e11, None])) for _ in range(700)] + [("one", 4.25), ("none", None)]
+    shares = (0.0, 0.31, 0.5, 0.95, 1.0)
+    got = aggregates.percentiles(spark.createDataFrame(data, "g string, v double"), F.col("v"), ["g"], shares, discrete)
+    want = {}
+    for g in {g for g, v in data if v is not None}:
+        values = sorted(round(v, 6) for k, v in data if k == g and v is not None)
+        if discrete:
+            want[g] = [values[max(0, math.ceil(s * len(values)) - 1)] for s in shares]
+        else:
+            at = [s * (len(values) - 1) for s in shares]
+            want[g] = [values[int(p)] + (values[math.ceil(p)] - values[int(p)]) * (p - int(p)) for p in at]
+    assert {r[0]: list(r[1:]) for r in got.collect()} == {g: pytest.approx(v, abs=2e-6) for g, v in want.items()}
+    nothing = aggregates.distribution(spark.createDataFrame([(None,)], "v double"), F.col("v"), discrete=discrete)
+    assert rows(nothing) == [(0, None, None, None, None)]
+
+
 # Dead letters.
 
 
+def test_a_runner_comes_to_the_same_as_its_rounds(spark):
+    """Rounds of tries at every minute a try is due, against the closed form, at many stops."""
+    schedule, most, base = (5, 15, 60, 240, 1440), 5, dt.datetime(2026, 1, 1)
+    clock = lambda m: F.lit(base + dt.timedelta(minutes=m)).cast("timestamp")
+    misses = spark.createDataFrame([("a", "known"), ("b", "lost")], "id string, key string")
+    known = spark.createDataFrame([("known",)], "key string")
+    entries, at = deadletter.pend(misses, clock(0), schedule), 0
+    names = ["id", "status", "retry_count", "next_retry_at", "resolved_at"]
+    for due in (5, 20, 80, 320, 1760, 3200):
+        for stop in (due - 1, due):
+            if stop == due:
+                entries = spark.createDataFrame(deadletter.retry(entries, known, "key", clock(due), schedule, most).collect(), entries.schema)
+            closed = deadletter.run_until(misses, clock(0), F.col("key") == "known", clock(stop), schedule, most)
+            kept = entries.select(*names).collect()
+            shown = [(*r[:3], r.next_retry_at if r.status == "PENDING" else r.resolved_at) for r in kept]
+            assert [(*r[:3], r.next_retry_at) for r in closed.select(*names).collect()] == shown, stop
+
+
+def test_retries_out_of_turn_trimmed_and_without_partners(spark):
+    clock = lambda m: F.lit(dt.datetime(2026, 1, 1) + dt.timedelta(minutes=m)).cast("timestamp")
+    fresh = deadletter.pend(spark.createDataFrame([(1, " k "), (2, "other"), (3, None)], "id int, key string"), clock(0), (5, 15))
+    dim = spark.createDataFrame([("k", "first"), (None, "null")], "key string, name string")
+    go = lambda **how: rows(deadletter.retry(fresh, dim, "key", clock(1), (5, 15), 2, **how).select("id", "status", "retry_count"))
+    assert go() == [(1, "PENDING", 0), (2, "PENDING", 0), (3, "PENDING", 0)]
+    assert go(ignore_wait=True, trim=True) == [(1, "RESOLVED", 0), (2, "PENDING", 1), (3, "PENDING", 1)]
+    assert go(ignore_wait=True, skip_if_none=True) == [(1, "PENDING", 0), (2, "PENDING", 0), (3, "PENDING", 0)]
+    assert go(ignore_wait=True, trim=True, skip_if_none=True) == go(ignore_wait=True, trim=True)
+    out = deadletter.retry(fresh, dim, "key", clock(1), (5, 15), 2, ignore_wait=True)
+    assert rows(out.select("id", "next_retry_at")) == rows(fresh.select("id", "next_retry_at"))
+    got = deadletter.recovered(fresh, dim, "key", ["name"], clock(5), trim=True, constants={"approximate": F.lit(1)})
+    assert got.columns == ["id", "key", "name", "approximate"] and rows(got) == [(1, " k ", "first", 1)]
+    assert deadletter.recovered(fresh, dim, "key", ["name"], clock(4), trim=True).count() == 0
+
+
+def test_cleanup_counts_are_what_expire_removes(spark):
+    clock = lambda d: F.lit(dt.datetime(2026, 1, 1) + dt.timedelta(days=d)).cast("timestamp")
+    entries = spark.createDataFrame([(s, e, dt.datetime(2026, 1, 1) + dt.timedelta(days=d)) for s, e, d in (("RESOLVED", "A", 0), ("RESOLVED", "A", 5), ("FAILED", "B", 0), ("PENDING", "B", 0), ("PENDING", None, 0))], "status string, error_code string, resolved_at timestamp")
+    got = deadletter.cleanup_counts({"t": entries, "empty": entries.limit(0)}, clock(8), 7)
+    assert rows(got) == [("t", "eligible", "FAILED", 1), ("t", "eligible", "RESOLVED", 1), ("t", "pending", "B", 1), ("t", "pending", None, 1)]
+    assert entries.count() - deadletter.expire(entries, clock(8), 7).count() == 2
+    with pytest.raises(ValueError):
+        deadletter.cleanup_counts({"t": entries}, clock(8), 0)
+
+
+
 def test_dead_letters_live_through_their_states(spark):
     schedule, most = (5, 15, 60, 240, 1440), 5
     clock = lambda m: F.lit(dt.datetime(2026, 1, 1) + dt.timedelta(minutes=m)).cast("timestamp")

@@ -42,10 +42,38 @@ def test_every_customer_is_joined(spark, folder, oracle):
 
 
 def test_coverage_shows_the_dead_letters_of_both_joins(spark, folder, oracle):
-    """The rows and columns of its SQL, and beside them the transactions of the source that found no balance."""
+    """All rows and columns of its SQL, among them the transactions of the source that found no balance."""
     rows = ALL["coverage"](spark, folder)
     assert "balance_dead_letter" in rows.columns
-    columns, names, more, less = compare(rows.drop("balance_dead_letter"), SQL["coverage"], oracle)
+    columns, names, more, less = compare(rows, SQL["coverage"], oracle)
     assert columns == names and not more and not less
     balance = f"SELECT transaction_id FROM ({SQL['coverage']}) WHERE NOT with_balance AND transaction_id IN (SELECT transaction_id FROM t24_transactions)"
     assert not any(compare(rows.filter("balance_dead_letter").select("transaction_id"), balance, oracle)[2:])
+
+
+def read_columns(df):
+    """The columns that each scan of the plan reads."""
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    scans = [leaf for i in range(leaves.size()) if "Scan" in (leaf := leaves.apply(i)).nodeName()]
+    return [sorted(scan.requiredSchema().fieldNames()) for scan in scans if scan.getClass().getSimpleName() == "FileSourceScanExec"]
+
+
+@pytest.mark.parametrize("name, columns", [
+    ("throughput", ["kafka_offset", "transaction_id", "ts_ms"]),
+    ("latency", ["kafka_offset", "transaction_id", "transaction_time", "ts_ms"]),
+    ("sync_lag", ["kafka_offset", "transaction_date", "transaction_id"]),
+    ("enrich_branch", ["amount", "branch_code", "kafka_offset", "transaction_id"]),
+    ("p4_messages", ["account_id", "amount", "batch_id", "kafka_offset", "transaction_date", "transaction_id", "ts_ms"]),
+])
+def test_scans_read_only_what_is_needed(name, columns, spark, folder):
+    scans = [c for c in read_columns(ALL[name](spark, folder)) if "kafka_offset" in c]
+    assert scans and all(c == columns for c in scans), scans
+
+
+def test_coverage_scans_no_full_rows(spark, folder):
+    assert max(len(c) for c in read_columns(ALL["coverage"](spark, folder))) <= 6
+
+
+def test_percentiles_hold_no_values_in_one_task(spark, folder):
+    plan = ALL["latency"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan and "collect_" not in plan

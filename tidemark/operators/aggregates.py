@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MONEY = "decimal(38,2)"
 
@@ -34,14 +34,77 @@ def signed_totals(rows: DataFrame, groups: Sequence[str], amount: str, parts: di
     return rows.groupBy(*groups).agg(F.sum(effect).cast(MONEY).alias("total_amount"), F.sum("sign").cast("bigint").alias("txn_count"), *split)
 
 
-def distribution(rows: DataFrame, value: Column, groups: Sequence[str] = (), shares: Sequence[float] = (0.5, 0.95)) -> DataFrame:
-    """Count, average, exact percentiles (interpolated, ``p50`` ...) and maximum of ``value``, six decimals. Nulls don't count.
+#: Values are counted in steps of so many bits, so that a step has at most 2^21 counters, whatever the number of values.
+_STEPS = (42, 21, 0)
 
-    The average is that of the values to six decimals, summed exactly, so it doesn't depend on the order of the rows.
+
+def percentiles(rows: DataFrame, value: Column, groups: Sequence[str] = (), shares: Sequence[float] = (0.5, 0.95), discrete: bool = False) -> DataFrame:
+    """``groups`` and the exact percentiles ``p50`` ... of ``value`` to six decimals, interpolated or, with ``discrete``, the first value that has the share below or at it.
+
+    No task ever holds the values: they are counted by their leading bits, then, within the
+    few ranges that hold the wanted positions, by further bits, and so on. Each step
+    combines before its shuffle. What is broadcast is two rows for each group and
+    share. Null values don't count; null groups are groups; values beyond 9 * 10^12 raise.
+    """
+    names = list(groups)
+    base = rows.select(*[F.col(f"`{g}`").alias(f"g{i}") for i, g in enumerate(names)], F.lit(0).alias("g"), F.round(value.cast("double") * F.lit(1_000_000)).cast("bigint").alias("q")).filter(F.col("q").isNotNull())
+    keys = ["g", *[f"g{i}" for i in range(len(names))]]
+
+    def same(left: list[str], right: str) -> Column:
+        on = F.lit(True)
+        for k in left:
+            on = on & F.col(k).eqNullSafe(F.col(f"{right}{k}"))
+        return on
+
+    def at(share: float) -> list[Column]:
+        if discrete:
+            one = F.greatest(F.ceil(F.lit(share) * F.col("n")).cast("bigint") - 1, F.lit(0).cast("bigint"))
+            return [one, one]
+        exact = F.lit(share) * (F.col("n") - 1)
+        return [F.floor(exact).cast("bigint"), F.ceil(exact).cast("bigint")]
+
+    wanted = [F.struct(F.lit(i).alias("share"), F.lit(j).alias("side"), c.alias("place")) for i, s in enumerate(shares) for j, c in enumerate(at(s))]
+    targets = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(*keys, "n", F.explode(F.array(*wanted)).alias("w")).select(*keys, "n", "w.*")
+    known: list[str] = []
+    for i, bits in enumerate(_STEPS):
+        inside = base
+        for j, before in enumerate(_STEPS[:i]):
+            inside = inside.withColumn(f"b{j}", F.shiftright("q", before))
+        by = [*keys, *known]
+        if known:
+            ranges = F.broadcast(targets.select(*[F.col(k).alias(f"t_{k}") for k in by]).distinct())
+            inside = inside.join(ranges, same(by, "t_"), "left_semi")
+        step = f"b{i}"
+        counted = inside.groupBy(*by, F.shiftright("q", bits).alias(step)).agg(F.count(F.lit(1)).alias("c"))
+        upto = F.sum("c").over(Window.partitionBy(*by).orderBy(step).rowsBetween(Window.unboundedPreceding, 0))
+        placed = counted.withColumn("upto", upto).select(*[F.col(k).alias(f"c_{k}") for k in by], step, "c", "upto")
+        hit = F.broadcast(targets).join(placed, same(by, "c_") & (F.col("place") < F.col("upto")) & (F.col("place") >= F.col("upto") - F.col("c")))
+        targets = hit.select(*by, step, "n", "share", "side", (F.col("place") - F.col("upto") + F.col("c")).alias("place"))
+        known.append(step)
+    found = targets.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when((F.col("share") == i) & (F.col("side") == j), F.col(known[-1]))).alias(f"v{i}{j}") for i in range(len(shares)) for j in (0, 1)])
+
+    def between(i: int) -> Column:
+        low, high = F.col(f"v{i}0").cast("double"), F.col(f"v{i}1").cast("double")
+        exact = F.lit(shares[i]) * (F.col("n") - 1)
+        return F.round((low + (high - low) * (exact - F.floor(exact))) / F.lit(1_000_000), 6).alias(f"p{shares[i] * 100:g}")
+
+    return found.select(*[F.col(f"g{i}").alias(g) for i, g in enumerate(names)], *[between(i) for i in range(len(shares))])
+
+
+def distribution(rows: DataFrame, value: Column, groups: Sequence[str] = (), shares: Sequence[float] = (0.5, 0.95), discrete: bool = False) -> DataFrame:
+    """Count, average, exact percentiles (``p50`` ..., see :func:`percentiles`) and maximum of ``value``, six decimals. Nulls don't count.
+
+    The average is that of the values to six decimals, summed exactly, so it doesn't depend on the order of the
+    rows. Without groups there is one row, of zero and nulls where there are no values.
     """
     v = rows.withColumn("__v", value.cast("double")).filter(F.col("__v").isNotNull())
-    points = [F.round(F.percentile("__v", F.lit(s)), 6).alias(f"p{s * 100:g}") for s in shares]
-    return v.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("__v").cast("decimal(38,6)")).cast("double") / F.count(F.lit(1)), 6).alias("average"), *points, F.round(F.max("__v"), 6).alias("most"))
+    summed = v.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("__v").cast("decimal(38,6)")).cast("double") / F.nullif(F.count(F.lit(1)), F.lit(0)), 6).alias("average"), F.round(F.max("__v"), 6).alias("most"))
+    points = percentiles(v, F.col("__v"), groups, shares, discrete).withColumnsRenamed({g: f"__{g}" for g in groups})
+    on = F.lit(True)
+    for g in groups:
+        on = on & F.col(g).eqNullSafe(F.col(f"__{g}"))
+    named = [f"p{s * 100:g}" for s in shares]
+    return summed.join(F.broadcast(points), on, "left").select(*groups, "n", "average", *[F.col(f"`{c}`") for c in named], "most")
 
 
 def reconcile(raw: DataFrame, kept: DataFrame, keys: Sequence[str], amount: str, count: str, tolerance: str = "0.01") -> DataFrame:

@@ -22,10 +22,13 @@ def parse_envelope(messages: DataFrame, value: str = "value", schema: T.StructTy
     """The envelope's fields of each message, next to the columns in ``keep``.
 
     Messages without a readable ``op`` (damaged JSON, tombstones) are left out.
-    An image may be embedded JSON or JSON text; both come out as text.
+    An image may be embedded JSON or JSON text; both come out as text. Numbers
+    may be quoted; what can't be read as its declared type is null.
     """
-    parsed = messages.select(*keep, F.from_json(F.col(value).cast("string"), schema).alias("__m"))
-    return parsed.select(*keep, "__m.*").filter(F.col("op").isNotNull())
+    wire = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    parsed = messages.select(*keep, F.from_json(F.col(value).cast("string"), wire).alias("__m"))
+    typed = [F.col(f"__m.`{f.name}`") if isinstance(f.dataType, T.StringType) else F.col(f"__m.`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema]
+    return parsed.select(*keep, *typed).filter(F.col("op").isNotNull())
 
 
 def effective_image(changes: DataFrame, to: str = "row_data") -> DataFrame:
@@ -44,6 +47,12 @@ def typed_rows(changes: DataFrame, schema: T.StructType, image: str = "row_data"
     return changes.select(*keep, F.from_json(F.col(image), schema).alias("__r")).select(*keep, "__r.*")
 
 
+def text_rows(changes: DataFrame, fields: Sequence[str], image: str = "row_data", keep: Sequence[str] = ("op", "offset")) -> DataFrame:
+    """The image's ``fields`` as text, numbers as they are written but for trailing zeros; damaged images are left out."""
+    read = changes.select(*keep, F.try_parse_json(F.col(image)).alias("__v")).filter(F.coalesce(F.schema_of_variant("__v").startswith("OBJECT"), F.lit(False)))
+    return read.select(*keep, *[F.try_variant_get("__v", f"$.{f}", "string").alias(f) for f in fields])
+
+
 def delete_keys(changes: DataFrame, key: str) -> DataFrame:
     """The keys that deletes name in their ``before`` image; empty and null keys are left out."""
     keys = changes.filter(F.col("op") == DELETE).select(F.get_json_object("before", f"$.{key}").alias(key))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from tidemark.functions.mapping import apply_mapping, convert
 from tidemark.operators import aggregates, deadletter, dedup, joins, merge
-from tidemark.operators.envelope import DELETE, WRITES, delete_keys, effective_image, is_json_object, parse_envelope
+from tidemark.operators.envelope import DELETE, WRITES, delete_keys, effective_image, envelope_schema, is_json_object, parse_envelope, text_rows
 from tidemark.plans.cdc_sql import SQL  # noqa: F401  (registered with QUERIES)
 from tidemark.sources.feeds import as_messages
 from tidemark.sources.tables import table
@@ -26,7 +26,7 @@ ROW = T.StructType(
 #: The clock of every query that needs one: the end of the data's last day.
 AS_OF = "2026-05-01 00:00:00"
 # Waits in minutes and the most tries, the join delay and window, and the edges of age buckets in hours.
-SCHEDULE, MOST_TRIES = (5, 15, 60, 240, 1440), 5
+SCHEDULE, BALANCE_SCHEDULE, MOST_TRIES = (5, 15, 60, 240, 1440), (10, 30, 120, 360, 1440), 5
 DELAY_MS, WINDOW_MS = 5 * 60_000, 30 * 60_000
 EDGES_HOURS = (1, 6, 24, 72)
 
@@ -35,6 +35,11 @@ def as_of():
     return F.lit(AS_OF).cast("timestamp")
 
 
+def stopped():
+    """When the runner of retries made its last round, a day before :func:`as_of`."""
+    return as_of() - F.make_interval(days=F.lit(1))
+
+
 def _ms(column: str):
     return F.unix_millis(F.col(column).cast("timestamp"))
 
@@ -59,6 +64,18 @@ def envelope_rows(spark, d):
     return _flat(_changes(spark, d))
 
 
+def envelope_declared(spark, d):
+    """Messages by a declared envelope: numbers as numbers, unknown fields null; the image stays text."""
+    shape = envelope_schema({"op": "STRING", "before": "STRING", "after": "STRING", "ts_ms": "LONG", "snapshot": "BOOLEAN"})
+    return parse_envelope(as_messages(table(spark, d, "debezium_envelope")), schema=shape, keep=("offset",)).select("offset", "op", "ts_ms", "snapshot")
+
+
+def rows_as_text(spark, d):
+    """Every change's image with all of its fields as text, as written."""
+    feed = table(spark, d, "debezium_envelope").filter(F.col("op").isNotNull()).withColumnRenamed("kafka_offset", "offset")
+    return text_rows(effective_image(feed), ROW.fieldNames(), keep=("offset",))
+
+
 def mirror_row_number(spark, d):
     """The mirror of the feed, the last event of a key by offset found with a window."""
     rows = _flat(_changes(spark, d))
@@ -103,8 +120,11 @@ def merge_insert_absent(spark, d):
     return merge.insert_absent(table(spark, d, "t24_account_target").select(*_ACCOUNT), _accounts(spark, d), ["account_id"])
 
 
-def _once(spark, d) -> DataFrame:
-    return dedup.keep_first(table(spark, d, "t24_transactions"), ["transaction_id"], ["kafka_offset"])
+def _once(spark, d, *columns: str) -> DataFrame:
+    """Each message once, with the given columns; only they, the identifier and the offset are read and shuffled."""
+    needed = dict.fromkeys(["transaction_id", *columns, "kafka_offset"])
+    kept = dedup.keep_first(table(spark, d, "t24_transactions").select(*needed), ["transaction_id"], ["kafka_offset"])
+    return kept.select(*dict.fromkeys(["transaction_id", *columns]))
 
 
 def _totals(df: DataFrame) -> DataFrame:
@@ -113,7 +133,7 @@ def _totals(df: DataFrame) -> DataFrame:
 
 def merge_add_up(spark, d):
     """Totals of the mirror with those of the source added."""
-    mirror, source = _totals(table(spark, d, "t24_transactions_target")), _totals(_once(spark, d))
+    mirror, source = _totals(table(spark, d, "t24_transactions_target")), _totals(_once(spark, d, "branch_code", "transaction_date", "currency_code", "amount"))
     return merge.add_up(mirror, source, ["branch_code", "transaction_date", "currency_code"], ["total_amount", "txn_count"])
 
 
@@ -124,13 +144,12 @@ def delete_by_key(spark, d):
     return merge.delete(written, delete_keys(feed, "TRANSACTION_ID").withColumnRenamed("TRANSACTION_ID", "transaction_id"), ["transaction_id"])
 
 
-def _by_branch(spark, d) -> DataFrame:
-    rows = _once(spark, d).select("transaction_id", "account_id", "customer_id", "branch_code", "transaction_date", "amount", "currency_code", "transaction_time", "ts_ms", "kafka_offset")
-    return joins.enrich(rows, table(spark, d, "t24_branch_target"), "branch_code", ["branch_name", "region_code", "region_name"])
+def _by_branch(spark, d, *columns: str) -> DataFrame:
+    return joins.enrich(_once(spark, d, "branch_code", *columns), table(spark, d, "t24_branch_target"), "branch_code", ["branch_name", "region_code", "region_name"])
 
 
 def enrich_branch(spark, d):
-    return _by_branch(spark, d).filter("matched").select("transaction_id", "branch_code", "branch_name", "region_code", "region_name", "amount")
+    return _by_branch(spark, d, "amount").filter("matched").select("transaction_id", "branch_code", "branch_name", "region_code", "region_name", "amount")
 
 
 def misses_branch(spark, d):
@@ -144,12 +163,12 @@ def _customers(spark, d) -> DataFrame:
     return rows.select("customer_id", "customer_name", "segment")
 
 
-def _by_customer(spark, d) -> DataFrame:
-    return joins.enrich(_once(spark, d).select("transaction_id", "customer_id", "amount"), _customers(spark, d), "customer_id", ["customer_name", "segment"], trim=True)
+def _by_customer(spark, d, *columns: str, trim: bool = True) -> DataFrame:
+    return joins.enrich(_once(spark, d, "customer_id", *columns), _customers(spark, d), "customer_id", ["customer_name", "segment"], trim=trim)
 
 
 def enrich_customer(spark, d):
-    return _by_customer(spark, d).filter("matched").drop("matched")
+    return _by_customer(spark, d, "amount").filter("matched").drop("matched")
 
 
 def misses_customer(spark, d):
@@ -164,8 +183,8 @@ def cache_fold(spark, d):
 
 
 def _timed(spark, d) -> tuple[DataFrame, DataFrame]:
-    left = _once(spark, d).select("transaction_id", "account_id", _ms("transaction_time").alias("at"))
-    right = table(spark, d, "t24_account").dropDuplicates(["version_id"]).select("version_id", "account_id", _ms("event_time").alias("acct_at"), "working_balance")
+    left = _once(spark, d, "account_id", "transaction_time").select("transaction_id", "account_id", _ms("transaction_time").alias("at"))
+    right = table(spark, d, "t24_account").select("version_id", "account_id", _ms("event_time").alias("acct_at"), "working_balance").distinct()
     return left, right
 
 
@@ -184,12 +203,27 @@ def interval_first(spark, d):
 def bootstrap(spark, d):
     """A cold start: every transaction with its account's current balance."""
     accounts = table(spark, d, "t24_account_target").select("account_id", F.col("customer_id").alias("acct_customer"), "working_balance", "online_actual_bal")
-    both = _once(spark, d).select("transaction_id", "account_id", "customer_id").join(joins.small(accounts), "account_id")
+    both = _once(spark, d, "account_id", "customer_id").join(joins.small(accounts), "account_id")
     return both.select("transaction_id", "account_id", F.coalesce("customer_id", "acct_customer").alias("customer_id"), "working_balance", "online_actual_bal", F.lit(1).alias("balance_is_approximate"))
 
 
 def bootstrap_rejects(spark, d):
-    return joins.absent(_once(spark, d).select("transaction_id", "account_id"), table(spark, d, "t24_account_target"), "account_id")
+    return joins.absent(_once(spark, d, "account_id"), table(spark, d, "t24_account_target"), "account_id")
+
+
+def bootstrap_since(spark, d):
+    """A cold start of the transactions from a date on."""
+    rows = _once(spark, d, "account_id", "transaction_date").filter(F.col("transaction_date") >= F.date_sub(F.to_date(as_of()), 7))
+    accounts = table(spark, d, "t24_account_target").select("account_id", "working_balance")
+    return rows.join(joins.small(accounts), "account_id").select("transaction_id", "account_id", "working_balance")
+
+
+def bootstrap_counts(spark, d):
+    """What that start would write and reject, in all and from the date on, without writing it."""
+    rows = joins.enrich(_once(spark, d, "account_id", "transaction_date"), table(spark, d, "t24_account_target"), "account_id", [])
+    recent = F.col("transaction_date") >= F.date_sub(F.to_date(as_of()), 7)
+    one = lambda on, name: F.count_if(on).alias(name)
+    return rows.agg(one(F.col("matched"), "written"), one(~F.col("matched"), "rejected"), one(F.col("matched") & recent, "written_since"), one(~F.col("matched") & recent, "rejected_since"))
 
 
 def full_outer_key(spark, d):
@@ -206,9 +240,9 @@ def _updates(spark, d) -> tuple[DataFrame, DataFrame]:
 
 
 def full_outer_window(spark, d):
-    """Account and customer updates within a month of each other, and ids without any (times in ms)."""
+    """Account and customer updates within half an hour of each other, and ids without any (times in ms)."""
     accounts, customers = _updates(spark, d)
-    return joins.full_outer_window(accounts, customers, "customer_id", "account_id", "cust", "at", "at", WINDOW_MS * 48 * 30).withColumnsRenamed({"left_id": "account_id", "right_id": "customer_id", "lt": "acct_at", "rt": "cust_at"})
+    return joins.full_outer_window(accounts, customers, "customer_id", "account_id", "cust", "at", "at", WINDOW_MS).withColumnsRenamed({"left_id": "account_id", "right_id": "customer_id", "lt": "acct_at", "rt": "cust_at"})
 
 
 def join_methods(spark, d):
@@ -244,7 +278,12 @@ def sales_recompute(spark, d):
 
 def reconcile(spark, d):
     """Totals recomputed from the source against those of the mirror."""
-    return aggregates.reconcile(_recomputed(_once(spark, d)).filter(F.col("branch_code").isNotNull() & F.col("currency_code").isNotNull()), _recomputed(table(spark, d, "t24_transactions_target")), ["branch_code", "currency_code", "rpt_date"], "total_amount", "txn_count")
+    return aggregates.reconcile(_recomputed(_once(spark, d, "branch_code", "currency_code", "transaction_date", "amount", "transaction_status")).filter(F.col("branch_code").isNotNull() & F.col("currency_code").isNotNull()), _recomputed(table(spark, d, "t24_transactions_target")), ["branch_code", "currency_code", "rpt_date"], "total_amount", "txn_count")
+
+
+def reconcile_worst(spark, d):
+    """The twenty groups that differ most, mismatches first."""
+    return reconcile(spark, d).orderBy(F.asc("check_result"), F.desc(F.abs("amount_diff")), F.desc("rpt_date"), "branch_code", "currency_code").limit(20)
 
 
 def region_rollup(spark, d):
@@ -261,51 +300,122 @@ def top_branches(spark, d):
 
 def freshest(spark, d):
     """The twenty groups that changed last, with their age."""
-    groups = _once(spark, d).groupBy("branch_code", F.col("transaction_date").alias("rpt_date")).agg(F.max("ts_ms").alias("updated_ms"), F.count(F.lit(1)).alias("txn_count"))
+    groups = _once(spark, d, "branch_code", "transaction_date", "ts_ms").groupBy("branch_code", F.col("transaction_date").alias("rpt_date")).agg(F.max("ts_ms").alias("updated_ms"), F.count(F.lit(1)).alias("txn_count"))
     age = F.floor((F.unix_millis(as_of()) - F.col("updated_ms")) / 1000).cast("bigint")
     return groups.withColumn("data_age_s", age).orderBy(F.desc("updated_ms"), "branch_code", "rpt_date").limit(20)
 
 
-def _dead(spark, d) -> DataFrame:
-    """Dead letters in every state: the branch misses, with tries, states and times that follow from the message."""
-    missed = _by_branch(spark, d).filter(~F.col("matched"))
-    tries, since = F.pmod("kafka_offset", F.lit(7)).cast("int"), F.col("transaction_time").cast("timestamp")
-    state = F.when(F.pmod("kafka_offset", F.lit(5)) == 0, "RESOLVED").when(tries == 6, "FAILED").otherwise("PENDING")
+def _branch_letters(spark, d) -> DataFrame:
+    """The misses of the branch join as a runner has left them: no branch of theirs has come since."""
+    missed = _by_branch(spark, d, "amount", "ts_ms").filter(~F.col("matched"))
     code = F.when(F.col("branch_code").isNull(), "NO_BRANCH").otherwise("BRANCH_NOT_FOUND")
-    entries = missed.select("transaction_id", "branch_code", "kafka_offset", tries.alias("retry_count"), since.alias("pending_since"), state.alias("status"), code.alias("error_code"))
-    entries = entries.withColumn("next_retry_at", F.col("pending_since") + F.make_interval(hours=F.col("retry_count") * 24))
-    return entries.withColumn("resolved_at", F.when(F.col("status") != "PENDING", F.col("next_retry_at")))
+    rows = missed.select("transaction_id", "branch_code", "amount", code.alias("error_code"), F.timestamp_millis("ts_ms").alias("since"))
+    return deadletter.run_until(rows, F.col("since"), F.lit(False), stopped(), SCHEDULE, MOST_TRIES).drop("since")
+
 
+def _customer_letters(spark, d) -> DataFrame:
+    """The misses of the customer join by ids as they came. Ids with spaces around them are found by the retry, which trims them."""
+    missed = _by_customer(spark, d, "amount", "ts_ms", trim=False).filter(~F.col("matched")).select("transaction_id", "customer_id", "amount", "ts_ms")
+    known = joins.enrich(missed, _customers(spark, d), "customer_id", ["segment"], trim=True)
+    code = F.when(F.col("customer_id").isNull(), "NO_CUSTOMER").otherwise("CUSTOMER_NOT_FOUND")
+    rows = known.select("transaction_id", "customer_id", "amount", code.alias("error_code"), F.timestamp_millis("ts_ms").alias("since"), F.col("matched").alias("found"))
+    return deadletter.run_until(rows, F.col("since"), F.col("found"), stopped(), SCHEDULE, MOST_TRIES).drop("since", "found")
 
-def _late_branches(spark, d) -> DataFrame:
-    """The branches known at the retry: those of the table, and of the missing ones the odd-numbered."""
-    found = _dead(spark, d).filter(F.col("branch_code").isNotNull() & (F.substring("branch_code", -1, 1).isin("1", "3", "5", "7", "9"))).select("branch_code").distinct()
-    return table(spark, d, "t24_branch_target").select("branch_code").unionByName(found)
+
+def _balance_letters(spark, d) -> DataFrame:
+    """Transactions without a balance in the time after them, as they were pended when they were committed; the runner hasn't tried them."""
+    left = _once(spark, d, "account_id", "customer_id", "transaction_time", "ts_ms").withColumn("at", _ms("transaction_time"))
+    lost = joins.first_match(left, _timed(spark, d)[1], "account_id", "transaction_id", "at", "acct_at", DELAY_MS, "version_id").filter(F.col("version_id").isNull())
+    return deadletter.pend(lost.select("transaction_id", "account_id", "customer_id", F.lit("BALANCE_NOT_FOUND").alias("error_code"), "ts_ms"), F.timestamp_millis("ts_ms"), BALANCE_SCHEDULE)
+
+
+def _dead(spark, d) -> DataFrame:
+    """The dead letters of the branch and the customer join: ``source``, the key that was looked up, and their states."""
+    one = lambda df, source, key: df.select(F.lit(source).alias("source"), F.col(key).alias("lookup"), "transaction_id", "error_code", "status", "retry_count", "pending_since", "next_retry_at", "resolved_at")
+    return one(_branch_letters(spark, d), "branch", "branch_code").unionByName(one(_customer_letters(spark, d), "customer", "customer_id"))
+
+
+def _partners(spark, d) -> DataFrame:
+    """What the keys of dead letters are looked up in: branches and customers, each under its source."""
+    branches = table(spark, d, "t24_branch_target").select(F.concat(F.lit("branch/"), F.trim("branch_code")).alias("place"))
+    return branches.unionByName(_customers(spark, d).select(F.concat(F.lit("customer/"), F.trim("customer_id")).alias("place")))
+
+
+def _placed(dead: DataFrame) -> DataFrame:
+    return dead.withColumn("place", F.concat("source", F.lit("/"), F.trim("lookup")))
+
+
+def _retried(spark, d, **how) -> DataFrame:
+    return deadletter.retry(_placed(_dead(spark, d)), _partners(spark, d), "place", as_of(), SCHEDULE, MOST_TRIES, **how)
+
+
+def _states(after: DataFrame) -> DataFrame:
+    return after.select("source", "transaction_id", "status", "retry_count", F.unix_seconds("next_retry_at").alias("next_retry_s"), F.unix_seconds("resolved_at").alias("resolved_s"))
 
 
 def retry_outcomes(spark, d):
     """All dead letters after one round of retries."""
-    after = deadletter.retry(_dead(spark, d), _late_branches(spark, d), "branch_code", as_of(), SCHEDULE, MOST_TRIES)
-    return after.select("transaction_id", "status", "retry_count", F.unix_seconds("next_retry_at").alias("next_retry_s"), F.unix_seconds("resolved_at").alias("resolved_s"))
+    return _states(_retried(spark, d))
+
+
+def retry_out_of_turn(spark, d):
+    """The same if all pending entries are tried at once, whenever they are due."""
+    return _states(_retried(spark, d, ignore_wait=True))
+
+
+def retry_unloaded(spark, d):
+    """Against an empty dimension, taken for one that isn't loaded: nothing changes."""
+    return _states(deadletter.retry(_placed(_dead(spark, d)), _partners(spark, d).limit(0), "place", as_of(), SCHEDULE, MOST_TRIES))
+
+
+def retry_none_found(spark, d):
+    """The branch letters where a round that finds none of their codes changes nothing."""
+    after = deadletter.retry(_branch_letters(spark, d), table(spark, d, "t24_branch_target"), "branch_code", as_of(), SCHEDULE, MOST_TRIES, ignore_wait=True, trim=True, skip_if_none=True)
+    return after.select("transaction_id", "status", "retry_count")
+
+
+def retry_enriched(spark, d):
+    """The rows a retry writes: customer letters that are found once their ids are trimmed, with the customer's attributes, as if the runner had not tried them yet."""
+    missed = _by_customer(spark, d, "amount", "ts_ms", trim=False).filter(~F.col("matched")).select("transaction_id", "customer_id", "amount", "ts_ms")
+    fresh = deadletter.pend(missed, F.timestamp_millis("ts_ms"), SCHEDULE).drop("ts_ms")
+    return deadletter.recovered(fresh, _customers(spark, d), "customer_id", ["customer_name", "segment"], as_of(), trim=True)
+
+
+def retry_account(spark, d):
+    """Transactions without a balance of their time, with the account's current one, marked as approximate."""
+    current = table(spark, d, "t24_account_target").select("account_id", "working_balance", "online_actual_bal")
+    marks = {"balance_is_approximate": F.lit(1), "acct_ts_ms": F.lit(None).cast("bigint")}
+    return deadletter.recovered(_balance_letters(spark, d).drop("ts_ms"), current, "account_id", ["working_balance", "online_actual_bal"], as_of(), constants=marks)
+
+
+def cleanup_counts(spark, d):
+    """What a cleanup after seven days would remove, and what is pending and why."""
+    tables = {"dead_branch": _branch_letters(spark, d), "dead_customer": _customer_letters(spark, d), "dead_balance": _balance_letters(spark, d)}
+    return deadletter.cleanup_counts(tables, as_of(), 7)
 
 
 def retry_summary(spark, d):
-    before, after = _dead(spark, d), deadletter.retry(_dead(spark, d), _late_branches(spark, d), "branch_code", as_of(), SCHEDULE, MOST_TRIES)
-    due = deadletter.due(before, as_of()).select("transaction_id")
-    return after.join(due, "transaction_id", "left_semi").groupBy(F.when(F.col("status") == "PENDING", "retrying").otherwise(F.lower("status")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    due = deadletter.due(_dead(spark, d), as_of()).select("source", "transaction_id")
+    return _retried(spark, d).join(due, ["source", "transaction_id"], "left_semi").groupBy(F.when(F.col("status") == "PENDING", "retrying").otherwise(F.lower("status")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def backoff_waits(spark, d):
-    """The wait after each number of tries."""
-    return spark.range(0, 8).select(F.col("id").cast("int").alias("tries"), deadletter.wait_minutes(F.col("id").cast("int"), SCHEDULE).alias("minutes"))
+    """The waits after each number of tries, of the dimensions' and of the balances' letters."""
+    tries = F.col("id").cast("int")
+    return spark.range(0, 8).select(tries.alias("tries"), deadletter.wait_minutes(tries, SCHEDULE).alias("minutes"), deadletter.wait_minutes(tries, BALANCE_SCHEDULE).alias("balance_minutes"))
 
 
 def dead_letters_due(spark, d):
-    return deadletter.due(_dead(spark, d), as_of()).select("transaction_id", "retry_count", F.unix_seconds("pending_since").alias("pending_s"))
+    return deadletter.due(_dead(spark, d), as_of()).select("source", "transaction_id", "retry_count", F.unix_seconds("pending_since").alias("pending_s"))
+
+
+def dead_letters_pending(spark, d):
+    """Those of any wait."""
+    return deadletter.due(_dead(spark, d), as_of(), ignore_wait=True).select("source", "transaction_id", "retry_count", F.unix_seconds("pending_since").alias("pending_s"))
 
 
 def dead_letters_expired(spark, d):
-    return deadletter.expire(_dead(spark, d), as_of(), 7).select("transaction_id", "status")
+    return deadletter.expire(_dead(spark, d), as_of(), 7).select("source", "transaction_id", "status")
 
 
 def dead_letters_new(spark, d):
@@ -343,9 +453,27 @@ def dead_letter_hourly(spark, d):
 
 
 def dead_letter_top(spark, d):
-    """The ten commonest error codes and branches of the last thirty days."""
+    """The ten commonest error codes and keys of the last thirty days."""
     recent = _dead(spark, d).filter(F.col("pending_since") >= as_of() - F.make_interval(days=F.lit(30)))
-    return recent.groupBy("error_code", "branch_code").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc_nulls_last("branch_code")).limit(10)
+    return recent.groupBy("error_code", "lookup").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "error_code", F.asc_nulls_last("lookup")).limit(10)
+
+
+def dead_letter_newest(spark, d):
+    """The ten newest samples."""
+    rows = _dead(spark, d).select("source", "transaction_id", "lookup", "error_code", "status", F.unix_millis("pending_since").alias("pending_ms"))
+    return rows.orderBy(F.desc("pending_ms"), "source", "transaction_id").limit(10)
+
+
+def dead_letter_minutes(spark, d):
+    """New dead letters a minute over the last day."""
+    recent = _dead(spark, d).filter((F.col("pending_since") >= stopped()) & (F.col("pending_since") < as_of()))
+    return recent.groupBy(F.unix_seconds(F.date_trunc("minute", "pending_since")).alias("minute_s"), "error_code").agg(F.count(F.lit(1)).alias("n"))
+
+
+def dead_letter_last_hour(spark, d):
+    """New dead letters of the last hour by error code."""
+    recent = _dead(spark, d).filter((F.col("pending_since") >= as_of() - F.make_interval(hours=F.lit(1))) & (F.col("pending_since") < as_of()))
+    return recent.groupBy("error_code").agg(F.count(F.lit(1)).alias("n"))
 
 
 def dead_letter_share(spark, d):
@@ -363,7 +491,13 @@ def row_counts(spark, d):
 
 def _lag(spark, d) -> DataFrame:
     """How long after its time each message was committed, in seconds."""
-    return _once(spark, d).withColumn("lag_s", (F.col("ts_ms") - _ms("transaction_time")) / 1000)
+    return _once(spark, d, "ts_ms", "transaction_time").withColumn("lag_s", (F.col("ts_ms") - _ms("transaction_time")) / 1000)
+
+
+def _recent(rows: DataFrame, minutes: int) -> DataFrame:
+    """Messages committed in the last minutes before :func:`as_of`. Copies share their commit time, so the filter may come first or last."""
+    end = F.unix_millis(as_of())
+    return rows.filter((F.col("ts_ms") >= end - minutes * 60_000) & (F.col("ts_ms") < end))
 
 
 def latency(spark, d):
@@ -374,9 +508,24 @@ def latency_by_hour(spark, d):
     return aggregates.distribution(_lag(spark, d).withColumn("hour", F.hour(F.timestamp_millis("ts_ms"))), F.col("lag_s"), ["hour"], (0.95,))
 
 
+def latency_last_hour(spark, d):
+    """The same of the last hour."""
+    return aggregates.distribution(_recent(_lag(spark, d), 60), F.col("lag_s"))
+
+
+def latency_discrete(spark, d):
+    """Percentiles that are values of the data."""
+    return aggregates.distribution(_lag(spark, d), F.col("lag_s"), discrete=True)
+
+
+def throughput_last_half_hour(spark, d):
+    recent = _recent(_once(spark, d, "ts_ms"), 30)
+    return recent.groupBy(F.floor(F.col("ts_ms") / 60_000).cast("bigint").alias("minute")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def throughput(spark, d):
     """Messages a minute."""
-    return _once(spark, d).groupBy(F.floor(F.col("ts_ms") / 60_000).cast("bigint").alias("minute")).agg(F.count(F.lit(1)).alias("n"))
+    return _once(spark, d, "ts_ms").groupBy(F.floor(F.col("ts_ms") / 60_000).cast("bigint").alias("minute")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def time_skew(spark, d):
@@ -391,7 +540,7 @@ def coverage(spark, d):
     found = joins.first_match(*_timed(spark, d), "account_id", "transaction_id", "at", "acct_at", DELAY_MS, "version_id").select("transaction_id", "version_id")
     parts = {
         "enriched": enrich_branch(spark, d), "with_balance": found.filter(F.col("version_id").isNotNull()),
-        "dead_letter": _dead(spark, d), "balance_dead_letter": found.filter(F.col("version_id").isNull()),
+        "dead_letter": _branch_letters(spark, d), "balance_dead_letter": found.filter(F.col("version_id").isNull()),
     }
     rows = joins.coverage(table(spark, d, "t24_transactions_target").select("transaction_id", "branch_code", "account_id"), "transaction_id", parts)
     return rows.filter(~F.col("enriched") | ~F.col("with_balance"))
@@ -405,12 +554,12 @@ def coverage_newest(spark, d):
 
 def sync_lag(spark, d):
     """Source rows the mirror lacks: how many, and since when."""
-    rows = joins.absent(_once(spark, d).select("transaction_id", "transaction_date"), table(spark, d, "t24_transactions_target"), "transaction_id")
+    rows = joins.absent(_once(spark, d, "transaction_date"), table(spark, d, "t24_transactions_target"), "transaction_id")
     return rows.agg(F.count(F.lit(1)).alias("not_yet_synced"), F.min("transaction_date").alias("oldest_date"))
 
 
 def sync_missing(spark, d):
-    return joins.absent(_once(spark, d).select("transaction_id", "transaction_date"), table(spark, d, "t24_transactions_target"), "transaction_id")
+    return joins.absent(_once(spark, d, "transaction_date"), table(spark, d, "t24_transactions_target"), "transaction_id")
 
 
 def snapshot_timing(spark, d):
@@ -447,7 +596,8 @@ def scalar_functions(spark, d):
         "kafka_offset", F.upper("channel").alias("up"), F.lower("transaction_type").alias("low"), F.trim("customer_id").alias("trimmed"), F.length("customer_id").alias("chars"),
         F.concat_ws("|", "account_id", "currency_code").alias("joined"), F.abs(-F.col("amount")).alias("absolute"), F.round(F.col("amount").cast("double") / 3, 2).alias("third"),
         F.nullif("channel", F.lit("ATM")).alias("not_atm"), F.coalesce("author_id", "input_id").alias("who"), F.hex(F.col("branch_code")).alias("bytes"),
-        F.datediff("value_date", "transaction_date").alias("days"), F.get_json_object(F.to_json(F.struct("branch_code")), "$.branch_code").alias("from_json"),
+        F.datediff("value_date", "transaction_date").alias("days"), F.to_date(F.date_format("transaction_date", "dd/MM/yyyy"), "dd/MM/yyyy").alias("parsed"),
+        F.unix_seconds(F.to_timestamp(F.date_format("transaction_time", "yyyy-MM-dd HH:mm:ss"), "yyyy-MM-dd HH:mm:ss")).alias("parsed_s"), F.get_json_object(F.to_json(F.struct("branch_code")), "$.branch_code").alias("from_json"),
     )
 
 
@@ -458,7 +608,7 @@ def ledger_seen(spark, d):
 
 _NAMES = """envelope_rows mirror_row_number mirror_max_by upsert_only_fold merge_newer merge_upsert merge_update_columns merge_insert_absent merge_add_up delete_by_key enrich_branch misses_branch
 enrich_customer misses_customer cache_fold interval_left interval_first bootstrap bootstrap_rejects full_outer_key full_outer_window join_methods signed_totals sales_recompute reconcile region_rollup
-top_branches freshest retry_outcomes retry_summary backoff_waits dead_letters_due dead_letters_expired dead_letters_new dead_letter_states dead_letter_tries dead_letter_rates dead_letter_oldest
-dead_letter_ages dead_letter_hourly dead_letter_top dead_letter_share row_counts latency latency_by_hour throughput time_skew coverage coverage_newest sync_lag sync_missing snapshot_timing
+top_branches freshest bootstrap_since bootstrap_counts envelope_declared rows_as_text reconcile_worst retry_outcomes retry_out_of_turn retry_unloaded retry_none_found retry_enriched retry_account retry_summary cleanup_counts backoff_waits dead_letters_due dead_letters_pending dead_letters_expired dead_letters_new dead_letter_states dead_letter_tries dead_letter_rates dead_letter_oldest
+dead_letter_ages dead_letter_hourly dead_letter_top dead_letter_newest dead_letter_minutes dead_letter_last_hour dead_letter_share row_counts latency latency_by_hour latency_last_hour latency_discrete throughput throughput_last_half_hour time_skew coverage coverage_newest sync_lag sync_missing snapshot_timing
 duplicate_keys duplicate_rows column_mapping wire_values scalar_functions ledger_seen"""
 QUERIES = {name: globals()[name] for name in _NAMES.split()}
