@@ -112,9 +112,74 @@ def test_look_alikes_pair_texts_not_copies(spark):
     assert got == {0: (0, 3), 1: (0, 3), 2: (0, 3), 3: (0, 3), 4: (4, 1), 5: (4, 1), 7: (7, 1)}
 
 
+@pytest.mark.parametrize("capital, small", [(a, b) for a, b in zip("ꓮꓐᎪՕՍ‐", "abаoսh", strict=True)])
+def test_smaller_scripts(spark, capital, small):
+    """Letters of scripts that share the shape of a Latin capital, and the hyphen of its own."""
+    shown = {"ꓮ": "A", "ꓐ": "B", "Ꭺ": "A", "Օ": "O", "Ս": "U", "‐": "-"}
+    assert canon(spark, [f"x{capital}y"]) == [f"x{shown[capital]}y"]
+
+
+def test_many_copies_of_one_text_and_one_variant(spark):
+    df = spark.range(10_000).select("id", F.lit("cope").alias("t")).unionByName(spark.createDataFrame([(10_000, "соре"), (10_001, "сope")], "id long, t string"))
+    found = canonical.look_alikes(df, "id", "t")
+    assert found.count() == 20_001
+    assert found.filter("doc_id_b < 10000").count() == 0 and found.filter("doc_id_a = 10000 and doc_id_b = 10001").count() == 1
+    # Texts are paired before documents are joined: no join makes more rows than come out.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "text_a" in plan and "exact_a" not in plan
+
+
 # Leakage.
 
 
+@pytest.mark.parametrize("low, high", [("но в начале было слово", "НО В НАЧАЛЕ БЫЛО СЛОВО"), ("Вот так", "ВОТ ТАК"), ("νέα ήλιος και ώρα", "ΝΈΑ ΉΛΙΟΣ ΚΑΙ ΏΡΑ"), ("ӏ ўк ќ", "Ӏ ЎК Ќ"), ("straße", "STRAßE"), ("vіew", "VIEW"), ("ｗｉｄｅ", "Wide"), ("đợng", "ĐỢNG")])
+def test_words_of_either_case_and_look_are_one(low, high):
+    import pyarrow as pa
+
+    words, offsets = leakage.hashed_words(leakage._connection(), pa.table({"text": [low, high, low.capitalize()]}))
+    of = lambda k: words[offsets[k] : offsets[k + 1]].tolist()
+    if "ς" in low or "σ" in high.lower():
+        assert of(0)[0] == of(1)[0] and of(0)[2:] == of(1)[2:]  # a final sigma has a form of its own
+    else:
+        assert of(0) == of(1) == of(2)
+    assert len(of(0)) == len(low.split())
+
+
+def test_accents_and_letters_still_tell_words_apart():
+    import pyarrow as pa
+
+    words, _ = leakage.hashed_words(leakage._connection(), pa.table({"text": ["cafe café cafè сад сат нос nos x2 x3 12 l2 ё е"]}))
+    assert len(set(words.tolist())) == 13
+
+
+def test_upper_case_russian_passages_are_found(spark):
+    text = "Река жинты цитрак фимфюн, ребёнок для монреть брётр вот так и был после в саду"
+    d = spark.createDataFrame([(1, f"before {text.upper()} after"), (2, f"и {text}"), (3, text.replace("монреть", "монрёть"))], "d long, t string")
+    got = leakage.leaks(d, "d", "t", spark.createDataFrame([(7, text)], "id long, t string"), "id", "t")
+    assert rows(got.select("doc_id", "item_id")) == [(1, 7), (2, 7)]
+
+
+def test_a_text_of_one_word_repeated():
+    """As many candidates as runs, not as pairs of places: 100,000 words against 1,000."""
+    a, b = np.full(100_000, 7, np.uint64), np.full(1_000, 7, np.uint64)
+    i, j, length = leakage.shared_runs(a, b, 12)
+    assert len(i) == len(fa := leakage.fingerprints(a, 12)) + len(leakage.fingerprints(b, 12)) - 1 and len(fa) == 99_989
+    assert length.max() == 1_000 and length.min() == 12
+    assert leakage.tiles(a, b, 12) == [(0, 0, 1_000)]
+    twice = np.tile(np.array([3, 9, 4], np.uint64), 20_000)
+    assert len(leakage.shared_runs(twice, twice[:3_000], 12)[0]) < 25_000
+    assert leakage.tiles(twice, twice[:3_000], 12)[0] == (0, 0, 3_000)
+
+
+def test_the_filter_of_runs_passes_all_it_holds(spark):
+    rng = np.random.default_rng(3)
+    runs = rng.integers(-(2**63), 2**63 - 1, 5_000)
+    bits = leakage.run_filter(spark.createDataFrame([(int(r),) for r in runs], "run long"))
+    passes = lambda x: np.logical_and(*((bits[b >> 6] >> (b & 63).astype(np.uint64) & np.uint64(1) == 1) for b in leakage._bits(x)))
+    assert passes(runs.view(np.uint64)).all()
+    assert passes(rng.integers(-(2**63), 2**63 - 1, 50_000).view(np.uint64)).mean() < 0.001
+
+
 def brute_tiles(a, b, least):
     """Tiling by its definition: over and over the longest common unmarked run, first in a and then in b."""
     in_a, in_b, out = [False] * len(a), [False] * len(b), []
@@ -224,6 +289,63 @@ def test_plan_by_the_program_where_the_greedy_way_wastes_room():
         packing.Plan({0: 1}, 100)
 
 
+def knapsack(prices, capacity):
+    """The most that texts in one container can be worth."""
+    best = [0.0] * (capacity + 1)
+    for room in range(1, capacity + 1):
+        best[room] = max([best[room - 1]] + [best[room - s] + p for s, p in prices.items() if s <= room])
+    return best[capacity]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_no_packing_goes_below_the_bound(seed):
+    """The least number of containers of small sets, by trying all ways, is never below the bound, nor the plan below it."""
+    rng = random.Random(seed)
+    for _ in range(15):
+        capacity = rng.choice([7, 10, 13])
+        items = sorted((rng.randrange(1, capacity + 1) for _ in range(rng.randrange(1, 9))), reverse=True)
+
+        def least(rest, rooms):
+            if not rest:
+                return len(rooms)
+            tries = {tuple(sorted([*rooms[:i], rooms[i] - rest[0], *rooms[i + 1 :]])) for i in range(len(rooms)) if rooms[i] >= rest[0]} | {tuple(sorted([*rooms, capacity - rest[0]]))}
+            return min(least(rest[1:], list(t)) for t in tries)
+
+        plan = packing.Plan(dict(Counter(items)), capacity)
+        assert plan.bound <= least(items, []) <= plan.containers
+
+
+def test_gap_to_the_dual_program():
+    """Where filling isn't optimal the program is within a per cent of what the dual proves, and where lengths are rare no worse than filling."""
+    cases = [({51: 6000, 26: 6000, 27: 6000, 23: 12000}, 100, 0.0), (dict(Counter(random.Random(1).randrange(683, 1024) for _ in range(9000))), 2048, 0.01), ({n: 1 for n in range(300, 1500)}, 2048, 0.01)]
+    for histogram, capacity, gap in cases:
+        plan = packing.Plan(histogram, capacity)
+        assert plan.containers <= (1 + gap) * plan.bound
+        assert plan.containers <= packing.Plan(histogram, capacity, rounds=0).containers
+    assert packing.Plan(cases[0][0], 100).by_program == 30_000 and packing.Plan(cases[0][0], 100, rounds=0).containers == 11_000
+
+
+def test_prices_of_the_dual_let_no_container_be_worth_more_than_one():
+    histogram, capacity = {51: 60, 26: 60, 27: 60, 23: 120, 34: 10}, 100
+    for k in range(1, 65):
+        prices = {s: s / capacity if (k + 1) * s % capacity == 0 else ((k + 1) * s // capacity) / k for s in histogram}
+        assert knapsack(prices, capacity) <= 1 + 1e-9
+
+
+def test_holds_notices_what_is_wrong(spark):
+    sized = spark.createDataFrame([(1, 5), (2, 12), (3, 0)], "doc_id long, tokens long")
+    placed = lambda *r: spark.createDataFrame(list(r), "doc_id long, part int, token_start long, n_tokens long, container_id long")
+    right = [(1, 0, 0, 5, 0), (2, 0, 0, 10, 1), (2, 1, 10, 2, 0), (3, 0, 0, 0, 0)]
+    check = lambda *r: tuple(packing.holds(placed(*r), sized, 10).first())
+    assert check(*right) == (3, 0, 0, 0, 0, 0)
+    assert check((1, 0, 0, 5, 1), *right[1:])[:2] == (3, 1)
+    assert check((1, 0, 0, 5, 3), *right[1:])[2] == 1
+    assert check((1, 0, 0, 4, 0), *right[1:])[3:] == (1, 0, 1)
+    assert check((1, 0, 0, 2, 0), (1, 1, 2, 3, 0), *right[1:])[3:] == (0, 1, 0)
+    assert check(*right[1:])[0] == 2 and check(*right[1:])[3] == 1
+    assert packing.fill(placed(*right), 10).first().gap == 0 and packing.fill(placed(), 10).first().containers == 0
+
+
 def test_containers(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     docs = docs.unionByName(docs.limit(3)).unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, "one two three " * 9000)], docs.schema))

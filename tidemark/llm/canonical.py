@@ -20,6 +20,11 @@ CYRILLIC = "АВЕЅІЈКМНОРСТУХҮԚԜӀ" "аеорсухіјѕһԁԛ
 CYRILLIC_AS = "ABESIJKMHOPCTYXYQWI" "aeopcyxijshdqwly"
 GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ" "οϲϳν"
 GREEK_AS = "ABEZHIKMNOPTYXCJ" "ocjv"
+# Letters of smaller scripts whose shape is that of a Latin capital or, last, small letter, and hyphens like the common one.
+LISU, LISU_AS = "ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"
+CHEROKEE, CHEROKEE_AS = "ᎠᎡᎢᎪᎫᎬᎳᎷᎻᏀᏃᏎᏙᏚᏞᏟᏢᏦ", "DRTAJEWMHGZ4VSLCPK"
+ARMENIAN, ARMENIAN_AS = "ՕՍՏօսոհզց", "OUSounhqg"
+LATIN, LATIN_AS = "ɑɡ‐‑", "ag--"
 # Line ends and the control characters that show nothing.
 TAB, RETURN = "\t", "\r"
 
@@ -53,7 +58,7 @@ def _in_class(chars: str) -> str:
 def tables() -> dict[str, str | dict[str, str]]:
     """What the SQL is made of: look-alikes, accented look-alikes, compatibility forms, spaces, invisible characters."""
     compat, several = _kinds()
-    alike = dict(zip(CYRILLIC + GREEK, CYRILLIC_AS + GREEK_AS, strict=True))
+    alike = dict(zip(CYRILLIC + GREEK + LISU + CHEROKEE + ARMENIAN + LATIN, CYRILLIC_AS + GREEK_AS + LISU_AS + CHEROKEE_AS + ARMENIAN_AS + LATIN_AS, strict=True))
     # Accented letters of those scripts (NFC keeps them whole) look like the accented Latin letter, where there is one.
     for code in range(0x370, 0x530):
         parts = unicodedata.normalize("NFD", chr(code))
@@ -148,16 +153,19 @@ def look_alikes(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc_id_a < doc_id_b``: documents of one consistent form whose texts differ.
 
     Forms with one text only, be they on ever so many documents, are dropped by a
-    partial aggregation before anything is paired; in the rest the different
-    texts of a form are paired and then their documents, never copies of one text.
+    partial aggregation before anything is paired. In the rest the different texts of a
+    form are paired, each once, and only then joined with their documents: ever
+    so many copies of a text are never compared with each other.
     """
     prints = fingerprints(df, doc_id, text)
-    texts = prints.groupBy("form").agg(F.min("exact").alias("lo"), F.max("exact").alias("hi")).filter("lo <> hi").select("form")
-    some = prints.join(texts, "form")
-    a = some.select("form", F.col("doc_id").alias("doc_id_a"), F.col("exact").alias("exact_a"))
-    b = some.select("form", F.col("doc_id").alias("doc_id_b"), F.col("exact").alias("exact_b"))
-    pairs = a.join(b, "form").filter((F.col("exact_a") != F.col("exact_b")) & (F.col("doc_id_a") < F.col("doc_id_b")))
-    return pairs.select("doc_id_a", "doc_id_b").distinct()
+    forms = prints.groupBy("form").agg(F.min("exact").alias("lo"), F.max("exact").alias("hi")).filter("lo <> hi").select("form")
+    some = prints.join(forms, "form", "left_semi")
+    texts = some.select("form", "exact").distinct()
+    a, b = (texts.withColumnRenamed("exact", name) for name in ("text_a", "text_b"))
+    pairs = a.join(b, "form").filter("text_a < text_b").select("text_a", "text_b")
+    copies = lambda name: some.select(F.col("exact").alias(f"text_{name}"), F.col("doc_id").alias(f"doc_{name}")).distinct()
+    both = pairs.join(copies("a"), "text_a").join(copies("b"), "text_b")
+    return both.select(F.least("doc_a", "doc_b").alias("doc_id_a"), F.greatest("doc_a", "doc_b").alias("doc_id_b")).filter("doc_id_a < doc_id_b").distinct()
 
 
 def classes(df: DataFrame, doc_id: str, text: str) -> DataFrame:

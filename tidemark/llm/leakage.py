@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm import canonical
 from tidemark.operators.skew import join_by_key
+from tidemark.session import cut_lineage
 
 #: The items' seeds are broadcast up to so many (8 bytes each, and 8 for each word); more are joined by shuffle.
 MOST_BROADCAST = 2_000_000
@@ -26,9 +27,21 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 TILES = "n_tiles int, longest int, covered_words int, item_words int"
 
 
-def words_sql(column: str) -> str:
-    """DuckDB SQL for the list of word hashes of ``column``; a word is an unbroken run of letters, their marks, and digits."""
-    return f"list_transform(regexp_extract_all(lower({canonical.sql(column)}), '[\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda w: hash(w))"
+#: Letters that a letter drawn like one case of theirs and another drawn like the other make one: Greek nu is
+#: drawn like a small v and a capital N, palochka like a small l and a capital I.
+JOINED, JOINED_AS = "vl", "ni"
+
+
+def words_sql(table: str, column: str) -> str:
+    """DuckDB SQL for the word hashes of ``column`` of ``table``, as a list ``w``; a word is an unbroken run of letters, their marks, and digits.
+
+    Neither case nor look counts, so words are compared by the look of their capitals: a letter
+    may be drawn like a Latin one in one case only (Cyrillic ve, ka, em, en, te), so the
+    consistent form is taken before and after raising it.
+    """
+    shown = f"SELECT upper({canonical.sql(column)}) AS raised FROM {table}"
+    key = f"translate(lower({canonical.sql('raised')}), '{JOINED}', '{JOINED_AS}')"
+    return f"SELECT list_transform(regexp_extract_all({key}, '[\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda w: hash(w)) AS w FROM ({shown})"
 
 
 def hashed_words(connection, batch) -> tuple[np.ndarray, np.ndarray]:
@@ -36,7 +49,7 @@ def hashed_words(connection, batch) -> tuple[np.ndarray, np.ndarray]:
     import pyarrow as pa
 
     connection.register("batch", batch)
-    lists = connection.sql(f"SELECT coalesce({words_sql('text')}, []) AS w FROM batch").to_arrow_table().column(0).combine_chunks()
+    lists = connection.sql(f"SELECT coalesce(w, []) AS w FROM ({words_sql('batch', 'text')})").to_arrow_table().column(0).combine_chunks()
     connection.unregister("batch")
     lists = lists.cast(pa.large_list(pa.uint64()))
     offsets = lists.offsets.to_numpy()
@@ -69,41 +82,84 @@ def _stretches(true: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(edges[::2], edges[1::2], strict=True)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def shared_runs(a: np.ndarray, b: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start in a, start in b and length of every longest run that both share, of at least ``min_words`` words.
+
+    Only where runs begin is looked at: seeds, that is equal fingerprints, whose words before
+    differ. So a text of one word repeated has as many candidates as it has runs, not
+    as pairs of places. Lengths are found by bisection over sums that hold the
+    fingerprint of any stretch.
+    """
+    fa, fb = fingerprints(a, min_words), fingerprints(b, min_words)
+    none = np.zeros(0, np.int64)
+    if not len(fa) or not len(fb):
+        return none, none, none
+    # Places by (seed, word before), both as ranks; the start of a text has a word before of its own.
+    seeds, words = np.unique(fb), np.unique(b)
+    seed_b, before_b = np.searchsorted(seeds, fb), np.concatenate(([len(words)], np.searchsorted(words, b[: len(fb) - 1])))
+    seed_a = np.minimum(np.searchsorted(seeds, fa), len(seeds) - 1)
+    known = seeds[seed_a] == fa
+    before_a = np.minimum(np.searchsorted(words, a[: len(fa) - 1]), len(words) - 1)
+    before_a = np.concatenate(([len(words) + 1], np.where(words[before_a] == a[: len(fa) - 1], before_a, len(words) + 1)))
+    at = np.flatnonzero(known)
+    if not len(at):
+        return none, none, none
+    many = len(words) + 2
+    place = seed_b * many + before_b
+    order = np.argsort(place, kind="stable")
+    place = place[order]
+    low, high = np.searchsorted(place, seed_a[at] * many), np.searchsorted(place, (seed_a[at] + 1) * many)
+    same = seed_a[at] * many + before_a[at]
+    low_same, high_same = np.searchsorted(place, same, "left"), np.searchsorted(place, same, "right")
+    pairs = []
+    for first, last in ((low, low_same), (high_same, high)):
+        count = last - first
+        i = np.repeat(at, count)
+        j = order[np.repeat(first, count) + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)]
+        pairs.append((i, j))
+    i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    with np.errstate(over="ignore"):
+        longest = max(len(a), len(b)) + 1
+        up, down = _powers(int(BASE), longest), _powers(pow(int(BASE), -1, 1 << 64), longest)
+        sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(x * down[: len(x)]))) for x in (a, b)]
+        least, most = np.full(len(i), min_words, np.int64), np.minimum(len(a) - i, len(b) - j)
+        while len(open_ := np.flatnonzero(least < most)):
+            x, y = i[open_], j[open_]
+            middle = (least[open_] + most[open_] + 1) // 2
+            equal = (sums[0][x + middle] - sums[0][x]) * up[x] == (sums[1][y + middle] - sums[1][y]) * up[y]
+            least[open_] = np.where(equal, middle, least[open_])
+            most[open_] = np.where(equal, most[open_], middle - 1)
+    return i, j, least
+
+
 def tiles(a: np.ndarray, b: np.ndarray, min_words: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling of two word sequences: (start in a, start in b, length), longest first.
 
-    Equal lengths are taken in order of their starts. Seeds are equal
-    fingerprints, grown along their diagonal into runs; a run that a tile has
+    Equal lengths are taken in order of their starts. A run that a tile has
     cut into is split into what is left of it and waits its turn again.
     """
-    fa, fb = fingerprints(a, min_words), fingerprints(b, min_words)
-    if not len(fa) or not len(fb):
-        return []
-    order = np.argsort(fb, kind="stable")
-    low, high = np.searchsorted(fb[order], fa, "left"), np.searchsorted(fb[order], fa, "right")
-    many = high - low
-    i = np.repeat(np.arange(len(fa)), many)
-    j = order[np.repeat(low, many) + np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)]
-    by_diagonal = np.lexsort((i, i - j))
-    i, j = i[by_diagonal], j[by_diagonal]
-    # Where the next seed isn't the next on its diagonal, a run ends.
-    last = np.flatnonzero(np.concatenate(((np.diff(i - j) != 0) | (np.diff(i) != 1), [True]))) if len(i) else np.zeros(0, np.int64)
-    first = np.concatenate(([0], last[:-1] + 1)) if len(last) else last
     heap: list[tuple[int, int, int]] = []
-    for s, e in zip(first, last, strict=True):
-        at_a, at_b, length = int(i[s]), int(j[s]), int(e - s) + min_words
-        equal = a[at_a : at_a + length] == b[at_b : at_b + length]
+    for i, j, length in zip(*(x.tolist() for x in shared_runs(a, b, min_words)), strict=True):
+        equal = a[i : i + length] == b[j : j + length]
         if equal.all():
-            heap.append((-length, at_a, at_b))
+            heap.append((-length, i, j))
         else:  # fingerprints that are equal by chance
-            heap.extend((-int(y - x), at_a + int(x), at_b + int(x)) for x, y in _stretches(equal) if y - x >= min_words)
+            heap.extend((-int(y - x), i + int(x), j + int(x)) for x, y in _stretches(equal) if y - x >= min_words)
     heapq.heapify(heap)
     in_a, in_b, out = np.zeros(len(a), bool), np.zeros(len(b), bool), []
-    while heap:
+    room = min(len(a), len(b))
+    while heap and room >= min_words:
         length, i, j = heapq.heappop(heap)
         free = ~(in_a[i : i - length] | in_b[j : j - length])
         if free.all():
             in_a[i : i - length] = in_b[j : j - length] = True
+            room = min(room, len(a) - int(in_a.sum()), len(b) - int(in_b.sum()))
             out.append((i, j, -length))
             continue
         for s, e in _stretches(free):
@@ -218,9 +274,30 @@ def _broadcast(corpus: DataFrame, questions: DataFrame, min_words: int, min_cove
     return corpus.mapInArrow(work, schema)
 
 
-def _runs(df: DataFrame, name: str, min_words: int) -> DataFrame:
-    """``name, run``: the distinct fingerprints of each row, as signed numbers."""
+#: The filter over the items' runs has so many bits, a power of two, and is broadcast as 16 MB whatever their number.
+FILTER_BITS = 1 << 27
+
+
+def _bits(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each fingerprint in the filter."""
+    u, mask = runs.view(np.uint64), np.uint64(FILTER_BITS - 1)
+    return (u & mask).astype(np.int64), ((u >> np.uint64(32)) & mask).astype(np.int64)
+
+
+def run_filter(runs: DataFrame) -> np.ndarray:
+    """A Bloom filter of the column ``run`` in 64-bit words, put together by partial aggregation. With ever more runs it lets more pass, which costs time but no result."""
+    mask = FILTER_BITS - 1
+    bits = runs.select(F.explode(F.array(F.col("run").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("run", 32).bitwiseAND(F.lit(mask)))).alias("bit"))
+    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _runs(df: DataFrame, name: str, min_words: int, known: np.ndarray | None = None) -> DataFrame:
+    """``name, run``: the distinct fingerprints of each row, as signed numbers; with a filter, only those it lets pass."""
     schema = T.StructType([df.schema[name], T.StructField("run", T.LongType())])
+    shared = None if known is None else df.sparkSession.sparkContext.broadcast(known)
 
     def work(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -230,14 +307,18 @@ def _runs(df: DataFrame, name: str, min_words: int) -> DataFrame:
             words, offsets = hashed_words(con, pa.Table.from_batches([batch]))
             prints, rows = fingerprints(words, min_words), inside(offsets, min_words)
             at = np.flatnonzero(rows >= 0)
+            if shared is not None:
+                first, second = (shared.value[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1) for bit in _bits(prints[at]))
+                at = at[(first & second) == 1]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows[at])), pa.array(prints[at].view(np.int64))], names=[name, "run"])
 
     return df.select(name, "text").mapInArrow(work, schema).distinct()
 
 
 def _shuffled(corpus: DataFrame, questions: DataFrame, min_words: int, min_coverage: float) -> DataFrame:
-    """The same result without the items in memory: runs are joined, hot runs apart, and candidates tiled pair by pair."""
-    pairs = join_by_key(_runs(corpus, "doc_id", min_words), _runs(questions, "item_id", min_words), "run", 0.001).select("doc_id", "item_id").distinct()
+    """The same result without the items in memory: runs that a filter of the items' runs lets pass are joined, hot runs apart, and candidates tiled pair by pair."""
+    asked = cut_lineage(_runs(questions, "item_id", min_words))
+    pairs = join_by_key(_runs(corpus, "doc_id", min_words, run_filter(asked)), asked, "run", 0.001).select("doc_id", "item_id").distinct()
     both = pairs.join(corpus, "doc_id").join(questions.withColumnRenamed("text", "item_text"), "item_id").select("doc_id", "item_id", "text", "item_text")
     schema = _schema(corpus, questions)
 

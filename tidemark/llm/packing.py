@@ -4,7 +4,11 @@ The pattern of a container is how many texts of each length it holds. How often
 which pattern is the configuration linear program over the histogram of lengths, which
 is solved by multiplicative weights: lengths that are covered already weigh less, and
 a knapsack by dynamic programming prices the best pattern for the current weights. The
-multiplicities are rounded down, and what is left is filled up largest first.
+same prices are a solution of the dual program, so every round also gives a number of
+containers that no packing can go below. The multiplicities are rounded down; patterns
+may be used once more in the order of what that cut off, as long as their texts are there;
+what is left is filled up largest first. Of these roundings, and filling alone, the one with
+the fewest containers is taken.
 
 The histogram has at most as many entries as the capacity, so the program doesn't grow
 with the corpus. Documents get their container without meeting in one task: they are
@@ -58,7 +62,7 @@ def lengths(df: DataFrame, doc_id: str, text: str, vocabulary: str = VOCABULARY)
 class Plan:
     """How often each pattern is used. ``patterns``: (lengths, counts, uses) in the order of their containers."""
 
-    def __init__(self, histogram: dict[int, int], capacity: int = CAPACITY, epsilon: float = 0.5, rounds: int = 60):
+    def __init__(self, histogram: dict[int, int], capacity: int = CAPACITY, epsilon: float = 0.1, rounds: int = 60):
         if any(not 0 < n <= capacity for n in histogram):
             raise ValueError("every length must be within the capacity")
         self.capacity = capacity
@@ -70,14 +74,38 @@ class Plan:
             self._use(np.array([capacity]), np.array([1]), int(demand[capacity]))
             demand[capacity] = 0
         self.tokens = int(sum(n * many for n, many in histogram.items()))
-        for sizes, counts, uses in self._fractional(demand, epsilon, rounds):
-            whole = int(min(math.floor(uses), *(demand[sizes] // counts)))
-            if whole:
-                self._use(sizes, counts, whole)
-                demand[sizes] -= counts * whole
-        self._fill(demand)
+        whole = int(sum(uses for _, _, uses in self.patterns))
+        found = self._fractional(demand, epsilon, rounds)
+        #: No packing has fewer containers.
+        self.bound = whole + math.ceil(max(self._dual, self._step_prices(demand)) - 1e-6)
+        roundings = [self._rounded(demand, found, cut_off) for cut_off in (True, False)] + [self._rounded(demand, [], False)]
+        #: ``by_program``: the texts that are in patterns of the program; the others are filled in.
+        patterns, self.by_program = min(roundings, key=lambda r: sum(uses for _, _, uses in r[0]))
+        self.patterns += patterns
         self.containers = sum(uses for _, _, uses in self.patterns)
 
+    def _rounded(self, demand: np.ndarray, found: list[tuple[np.ndarray, np.ndarray, float]], cut_off: bool) -> tuple[list[tuple[np.ndarray, np.ndarray, int]], int]:
+        """Whole uses of the patterns, with ``cut_off`` also once more of those that rounding down cut most off, and containers filled with what is left."""
+        left, out, texts = demand.copy(), [], 0
+        for once_more in (False, True)[: 1 + cut_off]:
+            for sizes, counts, uses in sorted(found, key=lambda p: p[2] - math.floor(p[2]), reverse=True):
+                times = int(min(math.ceil(uses - math.floor(uses)) if once_more else math.floor(uses), *(left[sizes] // counts)))
+                if times:
+                    out.append((sizes.astype(np.int64), counts.astype(np.int64), times))
+                    left[sizes] -= counts * times
+                    texts += times * int(counts.sum())
+        return out + self._filled(left), texts
+
+    def _step_prices(self, demand: np.ndarray) -> float:
+        """The most of the dual program by prices in steps of 1/k, which are known to let no pattern be worth more than a container; of 1/1, those of the volume and of texts over half a container."""
+        sizes = np.flatnonzero(demand)
+        best = float(sizes @ demand[sizes]) / self.capacity
+        for k in range(1, 65):
+            steps = (k + 1) * sizes
+            prices = np.where(steps % self.capacity == 0, sizes / self.capacity, (steps // self.capacity) / k)
+            best = max(best, float(prices @ demand[sizes]))
+        return best
+
     def _use(self, sizes: np.ndarray, counts: np.ndarray, uses: int) -> None:
         self.patterns.append((sizes.astype(np.int64), counts.astype(np.int64), uses))
 
@@ -124,7 +152,7 @@ class Plan:
         more than epsilon of its demand, or one text. Lengths too rare to be
         repeated in a container come in as the length a pattern is built around.
         """
-        sizes = np.flatnonzero(demand)
+        sizes, self._dual = np.flatnonzero(demand), 0.0
         if not len(sizes):
             return []
         random = np.random.default_rng(1)  # ties only; the plan is the same in every run
@@ -141,7 +169,10 @@ class Plan:
             if not len(names):
                 break
             noise = 1 + 0.02 * random.random((len(names), tables))
-            best, take = self._price(sizes[names], weigh(names)[:, None] * noise)
+            values = weigh(names)[:, None] * noise
+            best, take = self._price(sizes[names], values)
+            # Prices divided by the worth of the best pattern let no pattern be worth more than one container.
+            self._dual = max(self._dual, float((wanted[names] @ values / best[self.capacity]).max()))
             rank = np.lexsort((-sizes[open_], -np.round(left[open_] / wanted[open_], 1)))
             firsts = open_[rank[: tables * around]]
             for n, first in enumerate(firsts):
@@ -159,13 +190,13 @@ class Plan:
                 break
         return [(sizes[list(items)], np.array(counts), many) for (items, counts), many in uses.items()]
 
-    def _fill(self, demand: np.ndarray) -> None:
+    def _filled(self, demand: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
         """Containers for what is left, largest first; equal containers are made at once."""
-        left = demand.copy()
+        left, out = demand.copy(), []
         while True:
             present = np.flatnonzero(left)
             if not len(present):
-                return
+                return out
             room, chosen = self.capacity, {}
             while room > 0 and len(fit := present[: np.searchsorted(present, room, side="right")]):
                 # Of the largest that fits, as many as there are and go in.
@@ -176,7 +207,7 @@ class Plan:
                 present = present[present < size]
             sizes, counts = np.array(list(chosen)), np.array(list(chosen.values()))
             uses = int((left[sizes] // counts).min())
-            self._use(sizes, counts, uses)
+            out.append((sizes.astype(np.int64), counts.astype(np.int64), uses))
             left[sizes] -= counts * uses
 
     def places(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -239,6 +270,28 @@ def containers(df: DataFrame, doc_id: str, text: str, capacity: int = CAPACITY,
 
 
 def fill(placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """One row: containers, tokens, the least number of containers they could need and the share of room unused."""
+    """One row: containers, tokens, the ``least`` containers any packing needs, by the dual program, the ``gap`` to it in per cent, and the share of room unused."""
+    histogram = placed.filter("n_tokens > 0").groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()  # at most `capacity` rows
+    least = Plan({r.n_tokens: r.n for r in histogram}, capacity).bound
     one = placed.groupBy("container_id").agg(F.sum("n_tokens").alias("n")).agg(F.count(F.lit(1)).alias("containers"), F.sum("n").alias("tokens"), F.max("n").alias("fullest"))
-    return one.withColumn("least", F.ceil(F.col("tokens") / F.lit(capacity))).withColumn("unused", F.round(1 - F.col("tokens") / (F.col("containers") * F.lit(capacity)), 6))
+    gap = F.round(100 * (F.col("containers") - F.lit(least)) / F.nullif(F.lit(least), F.lit(0)), 3)
+    return one.withColumns({"least": F.lit(least), "gap": gap, "unused": F.round(1 - F.col("tokens") / F.nullif(F.col("containers") * F.lit(capacity), F.lit(0)), 6)})
+
+
+def holds(placed: DataFrame, sized: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row on a packing of texts with distinct ids: ``documents`` placed, and how many containers are over full, ids are missing, texts lost or gained tokens, were split without need, or have parts apart from each other's ends; all but the first should be 0.
+
+    sized: ``doc_id, tokens`` of every text, see :func:`lengths`.
+    """
+    room = placed.groupBy("container_id").agg(F.sum("n_tokens").alias("n"))
+    rooms = room.agg(F.count_if(F.col("n") > capacity).alias("over_full"), (F.coalesce(F.max("container_id") + 1, F.lit(0)) - F.count(F.lit(1))).alias("ids_missing"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.lit(capacity)))
+    of_each = placed.groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("parts"), F.max(F.col("token_start") + F.col("n_tokens")).alias("end"))
+    both = sized.join(of_each, "doc_id", "full_outer")
+    same = lambda a, b: F.coalesce(a == b, F.lit(False))
+    texts = both.agg(
+        F.count("parts").alias("documents"), F.count_if(~same(F.col("n"), F.col("tokens"))).alias("tokens_changed"),
+        F.count_if(~same(F.col("parts"), parts)).alias("split_needlessly"), F.count_if(~same(F.col("end"), F.col("tokens"))).alias("apart"),
+    )
+    of_rooms = [rooms.select(c).scalar().alias(c) for c in ("over_full", "ids_missing")]
+    return texts.select("documents", *of_rooms, "tokens_changed", "split_needlessly", "apart")
