@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,12 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Join state is kept beside the heap, and the slower of a join's sides holds the watermark.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.multipleWatermarkPolicy": "min",
+    # Offsets are asked for without a consumer group; consumers are kept from batch to batch.
+    "spark.sql.streaming.kafka.useDeprecatedOffsetFetching": "false",
+    "spark.kafka.consumer.cache.enabled": "true",
 }
 
 
@@ -33,14 +41,20 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` as a reliable checkpoint in the folder all executors share.
 
-    ``spark.checkpoint.dir`` names that folder; only where it is unset, as in
-    tests on one machine, a temporary folder is used.
+    ``spark.checkpoint.dir`` names that folder. Only where it is unset and Spark runs in this
+    process, as in tests, a temporary folder is used and removed at the end; on a cluster
+    without one RuntimeError is raised, as no other machine could read it.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     shared = context.getConf().get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidemark-"))
+        if shared is None:
+            if not (context.master == "local" or context.master.startswith("local[")):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+            shared = tempfile.mkdtemp(prefix="tidemark-")
+            atexit.register(shutil.rmtree, shared, ignore_errors=True)
+        context.setCheckpointDir(shared)
     return df.checkpoint(eager=True)
 
 

@@ -13,8 +13,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators import aggregates, dedup, joins, late, merge, replay
-from tidemark.operators.envelope import DELETE, WRITES, effective_image, is_json_object, parse_envelope
+from tidemark.operators import aggregates, deadletter, dedup, joins, late, merge, replay
+from tidemark.operators.envelope import DELETE, ENVELOPE, WRITES, effective_image, is_json_object, parse_envelope
 from tidemark.streaming.store import Store
 
 
@@ -34,9 +34,18 @@ def ledger_name(batch: DataFrame, name: str, checkpoint: str) -> str:
         stream.close()
 
 
-def changes(feed: DataFrame, row_type: T.StructType) -> DataFrame:
+def show(stream: DataFrame, sink: str = "console", name: str = "shown", rows: int = 20, available: bool = False, seconds: float = 5) -> StreamingQuery:
+    """A stream on the console, or as the table ``name`` of this session with ``sink`` memory; to look at, not to keep."""
+    writer = stream.writeStream.format(sink).queryName(name).outputMode("append")
+    writer = writer.option("numRows", rows).option("truncate", "false") if sink == "console" else writer
+    return (writer.trigger(availableNow=True) if available else writer.trigger(processingTime=f"{seconds} seconds")).start()
+
+
+def changes(feed: DataFrame, row_type: T.StructType, envelope: T.StructType = ENVELOPE) -> DataFrame:
     """``op, offset, ts_ms, timestamp`` and the image's columns of every whole change. Works on streams and tables."""
-    parsed = effective_image(parse_envelope(feed, keep=("offset", "timestamp")))
+    parsed = parse_envelope(feed, schema=envelope, keep=("offset", "timestamp"))
+    missing = {f.name: F.lit(None).cast("string") for f in ENVELOPE if f.name not in parsed.columns}
+    parsed = effective_image(parsed.withColumns(missing) if missing else parsed)
     parsed = parsed.filter(is_json_object(F.col("row_data")))
     return parsed.select("op", "offset", F.col("ts_ms").try_cast("bigint").alias("ts_ms"), "timestamp", F.from_json("row_data", row_type).alias("r")).select("op", "offset", "ts_ms", "timestamp", "r.*")
 
@@ -49,14 +58,20 @@ def apply_changes(old: DataFrame, new: DataFrame, key: str, time: str | None, de
     return merge.delete(kept, last.filter(F.col("op") == DELETE), [key]) if deletes else kept
 
 
-def mirror(feed: DataFrame, row_type: T.StructType, key: str, store: Store, table: str, checkpoint: str, time: str | None = None, deletes: bool = True, **how) -> StreamingQuery:
-    """A mirror of the feed's table."""
+#: What a change has beside the columns of its image.
+AROUND = ("op", "offset", "ts_ms", "timestamp")
+Shape = Callable[[DataFrame], DataFrame]
+
+
+def mirror(feed: DataFrame, row_type: T.StructType, key: str, store: Store, table: str, checkpoint: str, time: str | None = None, deletes: bool = True, shape: Shape | None = None, envelope: T.StructType = ENVELOPE, **how) -> StreamingQuery:
+    """A mirror of the feed's table. shape: makes the target's columns, ``key`` and ``time`` among them, of the image's; what is in :data:`AROUND` stays."""
     name = how.pop("name", f"mirror_{table}")
 
     def work(batch: DataFrame, number: int) -> None:
-        parsed = changes(batch, row_type).filter(F.col(key).isNotNull()).persist()
+        read = changes(batch, row_type, envelope)
+        parsed = (shape(read) if shape else read).filter(F.col(key).isNotNull()).persist()
         try:
-            target = [f.name for f in row_type]
+            target = [c for c in parsed.columns if c not in AROUND]
 
             def one(old: DataFrame, new: DataFrame) -> DataFrame:
                 return apply_changes(old.select(*target), new, key, time, deletes)
@@ -68,22 +83,25 @@ def mirror(feed: DataFrame, row_type: T.StructType, key: str, store: Store, tabl
     return start(feed, work, checkpoint, name, **how)
 
 
-def fold_upserts(feed: DataFrame, row_type: T.StructType, key: str, time: str, store: Store, table: str, checkpoint: str, **how) -> StreamingQuery:
-    """Upserts only, without deletes: the greatest time of a key stays, of equal ones the first by offset."""
+def fold_upserts(feed: DataFrame, row_type: T.StructType, key: str, time: str, store: Store, table: str, checkpoint: str, shape: Shape | None = None, envelope: T.StructType = ENVELOPE, **how) -> StreamingQuery:
+    """Upserts only, without deletes: the greatest time of a key stays, of equal ones the first by offset. shape: as in :func:`mirror`."""
     name = how.pop("name", f"fold_{table}")
 
     def work(batch: DataFrame, number: int) -> None:
-        rows = changes(batch, row_type).filter(F.col("op").isin(*WRITES) & F.col(key).isNotNull()).withColumn("__back", -F.col("offset"))
-        best = dedup.keep_last(rows, [key], [time, "__back"]).select(*dict.fromkeys([*[f.name for f in row_type], time]))
+        read = changes(batch, row_type, envelope)
+        rows = (shape(read) if shape else read).filter(F.col("op").isin(*WRITES) & F.col(key).isNotNull())
+        target = dict.fromkeys([*[c for c in rows.columns if c not in AROUND], time])
+        best = dedup.keep_last(rows.select(*target, (-F.col("offset")).alias("__back")), [key], [time, "__back"]).select(*target)
         store.commit(ledger_name(batch, name, checkpoint), number, {table: (best, [key], lambda old, new: merge.upsert_newer(old, new, [key], time))})
 
     return start(feed, work, checkpoint, name, **how)
 
 
-def enrich(feed: DataFrame, row_type: T.StructType, key: str, on: str, dimension: Callable[[], DataFrame], attributes: list[str], store: Store, table: str, dead: str, checkpoint: str, trim: bool = False, update: Sequence[str] | None = None, **how) -> StreamingQuery:
+def enrich(feed: DataFrame, row_type: T.StructType, key: str, on: str, dimension: Callable[[], DataFrame], attributes: list[str], store: Store, table: str, dead: str, checkpoint: str, trim: bool = False, update: Sequence[str] | None = None, schedule: Sequence[int] = (5, 15, 60, 240, 1440), clock: Callable[[], Column] = F.current_timestamp, **how) -> StreamingQuery:
     """Transactions with the attributes of a dimension that is read anew for every batch; misses become dead letters in the same commit.
 
-    update: the columns that change in rows that are there already; by default all.
+    update: the columns that change in rows that are there already; by default all. Dead letters are
+    pending from ``clock`` on and first due after the first wait of ``schedule``; :mod:`tidemark.streaming.maintain` retries them.
     """
     name = how.pop("name", f"enrich_{table}")
 
@@ -97,7 +115,7 @@ def enrich(feed: DataFrame, row_type: T.StructType, key: str, on: str, dimension
             hits = both.filter("matched").drop("matched")
             store.commit(ledger_name(batch, name, checkpoint), number, {
                 table: (hits, [key], lambda old, new: merge.upsert(old, new, [key]) if update is None else merge.update_columns(old, new, [key], update)),
-                dead: (lost.select(*[f.name for f in row_type], "error_code", "error_reason"), [key], lambda old, new: merge.insert_absent(old, new, [key])),
+                dead: (deadletter.pend(lost.select(*[f.name for f in row_type], "error_code", "error_reason"), clock(), schedule), [key], lambda old, new: merge.insert_absent(old, new, [key])),
             })
         finally:
             both.unpersist()
@@ -199,8 +217,8 @@ CHANGE = ["transaction", "key", "position"]
 def without_known_damage(changes: DataFrame, store: Store, exposed: str) -> DataFrame:
     """The changes without damaged copies of those in the table ``exposed``."""
     damaged = changes.filter(~F.col("intact"))
-    # At most `buckets` numbers.
-    touched = [r.b for r in damaged.select(store.bucket(CHANGE).alias("b")).distinct().collect()]
+    # As many numbers as the table has buckets, at most.
+    touched = [r.b for r in damaged.select(store.bucket(CHANGE, store.buckets_of(exposed)).alias("b")).distinct().collect()]
     known = store.read(exposed, touched) if touched else None
     return changes if known is None else changes.filter("intact").unionByName(damaged.join(known, CHANGE, "left_anti").select(*changes.columns))
 

@@ -14,7 +14,7 @@ import json
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 class Conflict(RuntimeError):
@@ -22,10 +22,15 @@ class Conflict(RuntimeError):
 
 
 class Store:
-    """folder: any path Hadoop's file systems can reach from all executors. buckets: fixed when a table is first written."""
+    """folder: any path Hadoop's file systems can reach from all executors.
 
-    def __init__(self, spark: SparkSession, folder: str, buckets: int = 64, keep_versions: int = 10):
-        self.spark, self.folder, self.buckets, self.keep = spark, folder.rstrip("/"), buckets, keep_versions
+    buckets: how many a table starts with. When its files hold more than ``bucket_bytes`` a bucket, the commit
+    that finds it so writes all of it in twice as many, or as often twice as it takes; each
+    table's own number is in the manifest.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 64, keep_versions: int = 10, bucket_bytes: int = 128 << 20):
+        self.spark, self.folder, self.buckets, self.keep, self.bucket_bytes = spark, folder.rstrip("/"), buckets, keep_versions, bucket_bytes
         self._fs_path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._fs_path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -73,8 +78,12 @@ class Store:
         paths = [p for b, p in table["paths"].items() if buckets is None or int(b) in buckets]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def bucket(self, key: Sequence[str]):
-        return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in key]), F.lit(self.buckets).cast("bigint")).cast("int")
+    def buckets_of(self, name: str, manifest: dict | None = None) -> int:
+        """How many buckets the table has now; as many as it will start with, if it isn't there."""
+        return ((manifest or self.manifest())["tables"].get(name) or {}).get("buckets", self.buckets)
+
+    def bucket(self, key: Sequence[str], buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in key]), F.lit(buckets).cast("bigint")).cast("int")
 
     def commit(self, query: str, batch: int, merges: dict[str, tuple[DataFrame, Sequence[str], Callable[[DataFrame, DataFrame], DataFrame] | None]]) -> bool:
         """Merges changes into tables, all in one version; False if the batch is in them already.
@@ -88,24 +97,30 @@ class Store:
             return False
         tables = dict(base["tables"])
         for name, (changes, key, merge) in merges.items():
-            # At most `buckets` numbers.
-            touched = [r.b for r in changes.select(self.bucket(key).alias("b")).distinct().collect()]
+            now = self.buckets_of(name, base)
+            # At most `now` numbers.
+            touched = [r.b for r in changes.select(self.bucket(key, now).alias("b")).distinct().collect()]
             if merge is None:
                 tables.pop(name, None)
                 merge = lambda old, new: new
             elif not touched:
                 continue
-            old = self.read(name, touched, base["version"] or None)
+            before, buckets = tables.get(name), now
+            while before and sum(before["bytes"].values()) > buckets * self.bucket_bytes:
+                buckets *= 2
+            old = self.read(name, touched if buckets == now else None, base["version"] or None)
             if old is None:
                 old = self.spark.createDataFrame([], changes.schema)
             new = merge(old, changes)
             at = f"{self.folder}/data/{name}/{base['version'] + 1}-{uuid.uuid4().hex}"
-            new.withColumn("__bucket", self.bucket(key)).repartition(max(1, len(touched)), "__bucket").write.partitionBy("__bucket").parquet(at)
-            written = {f.getPath().getName().split("=")[1]: f.getPath().toString() for f in self._fs.listStatus(self._fs_path(at)) if "=" in f.getPath().getName()}
-            paths = dict(tables[name]["paths"]) if name in tables else {}
-            for b in touched:
-                paths.pop(str(b), None)
-            tables[name] = {"schema": json.loads(new.schema.json()), "paths": paths | written}
+            parts = max(1, len(touched) if buckets == now else buckets)
+            new.withColumn("__bucket", self.bucket(key, buckets)).repartition(parts, "__bucket").write.partitionBy("__bucket").parquet(at)
+            written = {f.getPath().getName().split("=")[1]: f.getPath() for f in self._fs.listStatus(self._fs_path(at)) if "=" in f.getPath().getName()}
+            kept = {} if before is None or buckets != now else {b: p for b, p in before["paths"].items() if int(b) not in touched}
+            tables[name] = {
+                "schema": json.loads(new.schema.json()), "buckets": buckets, "paths": kept | {b: p.toString() for b, p in written.items()},
+                "bytes": {b: before["bytes"][b] for b in kept} | {b: self._fs.getContentSummary(p).getLength() for b, p in written.items()},
+            }
         self._publish({"version": base["version"] + 1, "tables": tables, "ledger": base["ledger"] | {query: batch}})
         self._forget()
         return True

@@ -84,24 +84,31 @@ class Lock:
         os.unlink(self.path)
 
 
-def watch(queries: Sequence[StreamingQuery], stop_all: bool = True, every: float = 2.0) -> None:
-    """Returns when all queries have ended. A failed one raises, and stops the others first if ``stop_all``; SIGINT and SIGTERM stop all."""
+def alive(spark: SparkSession | None) -> bool:
+    """Whether the session's context still runs; it may have been stopped by the cluster without a query failing."""
+    return spark is None or not spark.sparkContext._jsc.sc().isStopped()
+
+
+def watch(queries: Sequence[StreamingQuery], stop_all: bool = True, every: float = 2.0, spark: SparkSession | None = None) -> None:
+    """Returns when all queries have ended. A failed one raises, and stops the others first if ``stop_all``; SIGINT and SIGTERM stop all. With ``spark``, a context that is gone raises too."""
     asked = []
     before = {s: signal.signal(s, lambda *_: asked.append(1)) for s in (signal.SIGINT, signal.SIGTERM)}
     failed = None
     try:
-        while any(q.isActive for q in queries) and not asked:
+        while alive(spark) and any(q.isActive for q in queries) and not asked:
             failed = next((q for q in queries if q.exception() is not None), None)
             if failed is not None and stop_all:
                 break
             time.sleep(every)
-        failed = failed or next((q for q in queries if q.exception() is not None), None)
+        failed = failed or (next((q for q in queries if q.exception() is not None), None) if alive(spark) else None)
     finally:
         for s, handler in before.items():
             signal.signal(s, handler)
-        for q in queries:
+        for q in queries if alive(spark) else ():
             if q.isActive:
                 q.stop()
+    if not alive(spark):
+        raise RuntimeError("the Spark context has stopped")
     if failed is not None:
         raise failed.exception()
 
@@ -122,7 +129,7 @@ def main(registry: Registry, spark: Callable[[], SparkSession], argv: Sequence[s
         for n in names:
             held.append(Lock(os.path.join(locks, f"{n}.lock")).__enter__())
         session = spark()
-        watch([q for n in names for q in registry.jobs[n](session)], stop_all=not args.keep_going)
+        watch([q for n in names for q in registry.jobs[n](session)], stop_all=not args.keep_going, spark=session)
     finally:
         for lock in held:
             lock.__exit__()
