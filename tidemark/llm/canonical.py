@@ -59,6 +59,7 @@ def tables() -> dict[str, str | dict[str, str]]:
     """What the SQL is made of: look-alikes, accented look-alikes, compatibility forms, spaces, invisible characters."""
     compat, several = _kinds()
     alike = dict(zip(CYRILLIC + GREEK + LISU + CHEROKEE + ARMENIAN + LATIN, CYRILLIC_AS + GREEK_AS + LISU_AS + CHEROKEE_AS + ARMENIAN_AS + LATIN_AS, strict=True))
+    marked: dict[str, str] = {}
     # Accented letters of those scripts (NFC keeps them whole) look like the accented Latin letter, where there is one.
     for code in range(0x370, 0x530):
         parts = unicodedata.normalize("NFD", chr(code))
@@ -67,13 +68,13 @@ def tables() -> dict[str, str | dict[str, str]]:
             if len(to) == 1:
                 alike[chr(code)] = to
             else:
-                several[chr(code)] = to
+                several[chr(code)] = marked[chr(code)] = to
     every = [chr(c) for c in range(0x80, 0x20000)] + [chr(c) for c in range(0xE0000, 0xE0200)]
     spaces = "".join(c for c in every if unicodedata.category(c) == "Zs") + TAB
     hidden = "".join(c for c in every if unicodedata.category(c) == "Cf") + "".join(chr(c) for c in [*range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0), 0x34F, 0x115F, 0x1160, 0x3164, 0xFFA0])
     one = compat | alike
     one = {a: alike.get(b, b) for a, b in one.items() if a not in hidden}
-    return {"from": "".join(one), "to": "".join(one.values()), "several": several, "spaces": spaces, "hidden": hidden}
+    return {"from": "".join(one), "to": "".join(one.values()), "several": several, "spaces": spaces, "hidden": hidden, "alike": alike, "marked": marked}
 
 
 def _quoted(text: str) -> str:
@@ -101,6 +102,18 @@ def sql(column: str = "text") -> str:
     return f"replace(CASE WHEN {ascii_only} THEN replace({column}, chr(9), ' ') ELSE {rest} END, chr(13) || chr(10), chr(10))"
 
 
+@lru_cache(maxsize=1)
+def look_sql(column: str = "text") -> str:
+    """The DuckDB expression that brings look-alike letters in ``column`` to the consistent form, where all else is in it already, as in a form whose case was changed."""
+    t = tables()
+    alike = f"translate({column}, {_quoted(''.join(t['alike']))}, {_quoted(''.join(t['alike'].values()))})"
+    marked = alike
+    for a, b in t["marked"].items():
+        marked = f"replace({marked}, {_quoted(a)}, {_quoted(b)})"
+    some = f"regexp_matches({column}, '[{_in_class(''.join(t['marked']))}]')"
+    return f"CASE WHEN regexp_matches({column}, '^[\\x00-\\x7F]*$') THEN {column} WHEN {some} THEN {marked} ELSE {alike} END"
+
+
 def run_in_duckdb(df: DataFrame, query: str, schema: T.StructType) -> DataFrame:
     """``query`` over each Arrow batch of ``df``, seen as the table ``batch``, in an in-process DuckDB of one thread."""
 

@@ -40,7 +40,7 @@ def words_sql(table: str, column: str) -> str:
     consistent form is taken before and after raising it.
     """
     shown = f"SELECT upper({canonical.sql(column)}) AS raised FROM {table}"
-    key = f"translate(lower({canonical.sql('raised')}), '{JOINED}', '{JOINED_AS}')"
+    key = f"translate(lower({canonical.look_sql('raised')}), '{JOINED}', '{JOINED_AS}')"
     return f"SELECT list_transform(regexp_extract_all({key}, '[\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda w: hash(w)) AS w FROM ({shown})"
 
 
