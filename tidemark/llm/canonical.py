@@ -51,7 +51,14 @@ def _kinds() -> tuple[dict[str, str], dict[str, str]]:
 
 
 def _in_class(chars: str) -> str:
-    return "".join(f"\\x{{{ord(c):X}}}" for c in chars)
+    """The characters for a class of a regular expression, neighbours as ranges."""
+    out: list[list[int]] = []
+    for code in sorted(map(ord, set(chars))):
+        if out and out[-1][1] == code - 1:
+            out[-1][1] = code
+        else:
+            out.append([code, code])
+    return "".join(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in out)
 
 
 @lru_cache(maxsize=1)
@@ -72,15 +79,25 @@ def tables() -> dict[str, str | dict[str, str]]:
     every = [chr(c) for c in range(0x80, 0x20000)] + [chr(c) for c in range(0xE0000, 0xE0200)]
     spaces = "".join(c for c in every if unicodedata.category(c) == "Zs") + TAB
     hidden = "".join(c for c in every if unicodedata.category(c) == "Cf") + "".join(chr(c) for c in [*range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0), 0x34F, 0x115F, 0x1160, 0x3164, 0xFFA0])
-    one = compat | alike
-    one = {a: alike.get(b, b) for a, b in one.items() if a not in hidden}
-    return {"from": "".join(one), "to": "".join(one.values()), "several": several, "spaces": spaces, "hidden": hidden, "alike": alike, "marked": marked}
+    compat = {a: alike.get(b, b) for a, b in compat.items() if a not in hidden and a not in alike}
+    return {"compat": compat, "several": several, "spaces": spaces, "hidden": hidden, "alike": alike, "marked": marked}
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def _translated(column: str, table: dict[str, str]) -> str:
+    """``column`` with the table's characters replaced; DuckDB prepares the table for every text, so texts without any of them pass by."""
+    some = f"regexp_matches({column}, '[{_in_class(''.join(table))}]')"
+    return f"CASE WHEN {some} THEN translate({column}, {_quoted(''.join(table))}, {_quoted(''.join(table.values()))}) ELSE {column} END"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` for ``value``, which is worked out once where ``body`` has it several times."""
+    return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+
 @lru_cache(maxsize=1)
 def sql(column: str = "text") -> str:
     """The DuckDB expression for the consistent form of ``column``.
@@ -92,12 +109,12 @@ def sql(column: str = "text") -> str:
     t = tables()
     shown = f"regexp_replace({column}, '[{_in_class(t['hidden'])}]', '', 'g')"
     spaced = f"regexp_replace({shown}, '[{_in_class(t['spaces'])}]', ' ', 'g')"
-    alike = f"translate(nfc_normalize({spaced}), {_quoted(t['from'])}, {_quoted(t['to'])})"
-    ligatures = alike
+    plain = _let("raw", f"nfc_normalize({spaced})", _translated("raw", t["compat"]))
+    alike = _let("wide", plain, _translated("wide", t["alike"]))
+    ligatures = "one"
     for a, b in t["several"].items():
         ligatures = f"replace({ligatures}, {_quoted(a)}, {_quoted(b)})"
-    some = f"regexp_matches({alike}, '[{_in_class(''.join(t['several']))}]')"
-    rest = f"CASE WHEN {some} THEN nfc_normalize({ligatures}) ELSE nfc_normalize({alike}) END"
+    rest = _let("one", alike, f"nfc_normalize(CASE WHEN regexp_matches(one, '[{_in_class(''.join(t['several']))}]') THEN {ligatures} ELSE one END)")
     ascii_only = f"regexp_matches({column}, '^[\\x00-\\x7F]*$')"
     return f"replace(CASE WHEN {ascii_only} THEN replace({column}, chr(9), ' ') ELSE {rest} END, chr(13) || chr(10), chr(10))"
 
@@ -106,7 +123,7 @@ def sql(column: str = "text") -> str:
 def look_sql(column: str = "text") -> str:
     """The DuckDB expression that brings look-alike letters in ``column`` to the consistent form, where all else is in it already, as in a form whose case was changed."""
     t = tables()
-    alike = f"translate({column}, {_quoted(''.join(t['alike']))}, {_quoted(''.join(t['alike'].values()))})"
+    alike = _translated(column, t["alike"])
     marked = alike
     for a, b in t["marked"].items():
         marked = f"replace({marked}, {_quoted(a)}, {_quoted(b)})"
