@@ -256,6 +256,16 @@ def test_redelivered_wants_numbers_and_times(spark):
         dedup.redelivered(spark.createDataFrame([("a", "b", 1)], "id string, s string, off long"), ["id"], "off", ["s", "off"])
 
 
+def test_first_values_are_those_of_the_first_row(spark):
+    data = [("a", 3, 1, None), ("a", 1, None, 2.5), ("b", 2, 7, 1.0), (None, 1, 1, 1.0)]
+    df = spark.createDataFrame(data, "id string, off long, n int, x double")
+    got = dedup.first_values(df, ["id"], ["off"], ["n", "x"])
+    assert rows(got) == [("a", None, 2.5), ("b", 7, 1.0)]
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        dedup.first_values(df, ["id"], ["off", "off"], ["n"])
+
+
 def test_keep_first_with_columns_that_have_no_order(spark):
     df = spark.createDataFrame([("a", 2, {"x": 1}), ("a", 1, {"y": 2}), ("b", None, None)], "id string, at int, m map<string,int>")
     assert rows(dedup.keep_first(df, ["id"], ["at"])) == [("a", 1, {"y": 2}), ("b", None, None)]

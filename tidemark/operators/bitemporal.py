@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.operators.skew import heavy_keys
+from tidemark.session import cut_lineage
 
 _LIMIT = 9223372036854775807
 
@@ -85,7 +86,9 @@ def _rectangles(placed: Column, version: str) -> Column:
 
         return F.get(F.transform(F.array(F.get(F.filter(opened, lambda o: inside(o, p)), 0)), cut), 0)
 
-    return F.aggregate(F.array_sort(placed), F.struct(none.alias("opened"), none.alias("shut")), insert, lambda s: F.concat(s["shut"], s["opened"]))
+    several = F.aggregate(F.array_sort(placed), F.struct(none.alias("opened"), none.alias("shut")), insert, lambda s: F.concat(s["shut"], s["opened"]))
+    one = F.transform(placed, lambda p: make(p["valid"], end, p["recorded"], end, p["version"]))
+    return F.when(F.size(placed) == 1, one).otherwise(several)
 
 
 def as_known(
@@ -119,9 +122,10 @@ def as_known(
     points = events.select(F.col(entity).alias("entity"), _micros(events, event_time).alias("valid"), _micros(events, known_time or event_time).alias("recorded"), whole)
     points = points.filter(F.col("entity").isNotNull() & F.col("valid").isNotNull() & F.col("recorded").isNotNull())
 
-    ends = seen.agg(F.min(F.least("valid", "recorded")).alias("from"), F.max(F.greatest("valid", "recorded")).alias("to"))
+    # The grid is settled first, so that what follows reads it instead of finding it again in every branch: one row, and at most 2/heavy_share.
+    ends = cut_lineage(seen.agg(F.min(F.least("valid", "recorded")).alias("from"), F.max(F.greatest("valid", "recorded")).alias("to")))
     start, stop = ends.select("from").scalar(), ends.select("to").scalar()
-    widths = F.broadcast(cell_widths(seen, points, stop - start + 1, cell_micros, heavy_share, per_cell, events_per_cell).withColumnsRenamed({"entity": "__e", "width": "__w"}))
+    widths = F.broadcast(cut_lineage(cell_widths(seen, points, stop - start + 1, cell_micros, heavy_share, per_cell, events_per_cell).withColumnsRenamed({"entity": "__e", "width": "__w"})))
 
     def gridded(df: DataFrame) -> DataFrame:
         """Adds the width of the entity's cells, the column ``x`` and row ``y`` counted from the first version on, and the highest level of blocks."""
@@ -149,10 +153,10 @@ def as_known(
 
     version = seen.schema["version"].dataType.simpleString()
     placed = column.unionByName(row).unionByName(corner).groupBy("entity", "x", "y").agg(F.collect_list(F.struct("recorded", "valid", "version")).alias("placed"))
-    indexed = placed.select("entity", "x", "y", _rectangles(F.col("placed"), version).alias("rectangles"))
+    indexed = placed.select("entity", "x", "y", F.inline(_rectangles(F.col("placed"), version)))
 
-    hit = asked.select("entity", "x", "y", "valid", "recorded", "event").join(indexed, ["entity", "x", "y"])
-    at = F.filter("rectangles", lambda r: (r["left"] <= F.col("valid")) & (F.col("valid") < r["right"]) & (r["low"] <= F.col("recorded")) & (F.col("recorded") < r["high"]))
-    known = hit.select("event", F.get(at, 0)["version"].alias("version")).filter(F.col("version").isNotNull())
+    here = F.col("at_valid").between(F.col("left"), F.col("right") - 1) & F.col("at_recorded").between(F.col("low"), F.col("high") - 1)
+    located = asked.select("entity", "x", "y", F.col("valid").alias("at_valid"), F.col("recorded").alias("at_recorded"), "event").join(indexed, ["entity", "x", "y"]).filter(here)
+    known = located.select("event", "version")
     out = {prefix + a: F.col(f"version.values.`{a}`") for a in attributes}
     return known.select(*[F.col(f"event.`{c}`") for c in events.columns if c not in out], *[v.alias(k) for k, v in out.items()])

@@ -112,10 +112,11 @@ def p4_batches(spark: SparkSession, d: str) -> DataFrame:
     return dedup.keep_first(table(spark, d, "t24_stream_batch_log"), ["job_name", "query_id", "batch_id"], ["log_id"])
 
 
-def _as_known(spark: SparkSession, d: str, attributes: list[str]) -> DataFrame:
-    rows = table(spark, d, "t24_transactions").select("transaction_id", "account_id", "transaction_time", "kafka_offset")
-    events = dedup.keep_first(rows, ["transaction_id"], ["kafka_offset"]).drop("kafka_offset")
-    return bitemporal.as_known(events, table(spark, d, "t24_account"), "account_id", "transaction_time", "event_time", "updated_at", "version_id", attributes)
+def _as_known(spark: SparkSession, d: str, attributes: list[str], event_time: str = "transaction_time", known_time: str | None = None) -> DataFrame:
+    """Each message once with what was known. Deliveries of a message have the same account and times, so all are located where they are and one of each is kept of what was found."""
+    events = table(spark, d, "t24_transactions").select("transaction_id", "account_id", event_time, *([F.timestamp_millis(known_time).alias("known")] if known_time else []), "kafka_offset")
+    found = bitemporal.as_known(events, table(spark, d, "t24_account"), "account_id", event_time, "event_time", "updated_at", "version_id", attributes, known_time="known" if known_time else None)
+    return dedup.first_values(found, ["transaction_id"], ["kafka_offset"], [event_time, *attributes])
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -124,15 +125,12 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_balances(spark: SparkSession, d: str) -> DataFrame:
     """Each transaction with the balances of its account as valid and known then."""
-    return _as_known(spark, d, ["working_balance", "online_actual_bal"]).drop("account_id")
+    return _as_known(spark, d, ["working_balance", "online_actual_bal"])
 
 
 def p5_as_booked(spark: SparkSession, d: str) -> DataFrame:
     """Points off the diagonal: the balance valid at the start of each transaction's booking day, as known when it was committed."""
-    rows = table(spark, d, "t24_transactions").select("transaction_id", "account_id", "transaction_date", F.timestamp_millis("ts_ms").alias("known"), "kafka_offset")
-    events = dedup.keep_first(rows, ["transaction_id"], ["kafka_offset"])
-    found = bitemporal.as_known(events, table(spark, d, "t24_account"), "account_id", "transaction_date", "event_time", "updated_at", "version_id", ["version_id"], known_time="known")
-    return found.select("transaction_id", "version_id")
+    return _as_known(spark, d, ["version_id"], "transaction_date", "ts_ms").select("transaction_id", "version_id")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
