@@ -41,26 +41,32 @@ def p1_state(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def late_records(spark: SparkSession, d: str) -> DataFrame:
-    """Messages and changes as records of a day, each once, in batches by the day of their arrival: ``row_table, row_key, branch_code, transaction_date, amount, ts_ms, arrival_batch``."""
-    rows = table(spark, d, "t24_transactions").select("transaction_id", "branch_code", "transaction_date", "amount", "ts_ms", "kafka_offset")
-    rows = dedup.keep_first(rows, ["transaction_id"], ["kafka_offset"])
-    rows = rows.select(F.lit("t24_transactions").alias("row_table"), F.col("transaction_id").alias("row_key"), "branch_code", "transaction_date", "amount", "ts_ms")
+def late_deliveries(spark: SparkSession, d: str) -> DataFrame:
+    """Messages and changes as records of a day as often as they came, in batches by the day of their arrival: ``row_table, row_key, branch_code, transaction_date, amount, ts_ms, kafka_offset, arrival_batch``."""
+    rows = table(spark, d, "t24_transactions").select(F.lit("t24_transactions").alias("row_table"), F.col("transaction_id").alias("row_key"), "branch_code", "transaction_date", "amount", "ts_ms", "kafka_offset")
     feed = table(spark, d, "debezium_envelope").filter(F.col("op").isin(*WRITES) & is_json_object(F.col("after")))
     changes = feed.select("source_scn", F.col("ts_ms").try_cast("bigint").alias("ts_ms"), F.from_json("after", IMAGE).alias("r"), "kafka_offset")
     changes = changes.select(
-        "source_scn", F.col("r.BRANCH_CODE").alias("branch_code"), F.date_from_unix_date(F.floor(F.col("r.TRANSACTION_DATE") / F.lit(late.DAY_MS)).try_cast("int")).alias("transaction_date"),
-        F.col("r.AMOUNT").alias("amount"), "ts_ms", "kafka_offset",
+        F.lit("debezium_envelope").alias("row_table"), F.col("source_scn").cast("string").alias("row_key"), F.col("r.BRANCH_CODE").alias("branch_code"),
+        F.date_from_unix_date(F.floor(F.col("r.TRANSACTION_DATE") / F.lit(late.DAY_MS)).try_cast("int")).alias("transaction_date"), F.col("r.AMOUNT").alias("amount"), "ts_ms", "kafka_offset",
     )
-    changes = dedup.keep_first(changes, ["source_scn"], ["kafka_offset"])
-    changes = changes.select(F.lit("debezium_envelope").alias("row_table"), F.col("source_scn").cast("string").alias("row_key"), "branch_code", "transaction_date", "amount", "ts_ms")
     return late.placed(rows.unionByName(changes), "transaction_date", "ts_ms")
 
 
+def late_records(spark: SparkSession, d: str) -> DataFrame:
+    """The same, each record once."""
+    return dedup.keep_first(late_deliveries(spark, d), ["row_table", "row_key"], ["kafka_offset"]).drop("kafka_offset")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    """The records behind the partials that correct their day or are refused by it. The store is kept, as it is read twice."""
+    """The records behind the partials that correct their day or are refused by it. The store is kept, as it is read twice.
+
+    Copies of a record have its day, branch and time, so one of each is kept of the few that are found.
+    """
     store = cut_lineage(p2_partials(spark, d).filter(F.col("lateness") != late.ON_TIME))
-    return late.records_of(store, late_records(spark, d), "transaction_date", ["branch_code"]).select("row_table", "row_key", "lateness")
+    deliveries = late_deliveries(spark, d).drop("amount", "ts_ms")
+    found = late.records_of(store, deliveries, "transaction_date", ["branch_code"])
+    return dedup.keep_first(found.select("row_table", "row_key", "lateness", "kafka_offset"), ["row_table", "row_key"], ["kafka_offset"]).drop("kafka_offset")
 
 
 def p2_partials(spark: SparkSession, d: str) -> DataFrame:
