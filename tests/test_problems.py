@@ -369,8 +369,9 @@ def test_differences_against_brute_force(spark, seed, buckets):
     right = spark.createDataFrame([(k, *v) for k, v in b.items()], schema)
     want = brute_diff(a.items(), b.items(), columns)
     for settle in (None, diff.Settle(("off",)), diff.Settle(("off",), last=True)):
-        got = diff.differences(left, right, "k", buckets=buckets, settle=settle)
-        assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+        for unique in (False, True):
+            got = diff.differences(left, right, "k", buckets=buckets, settle=settle, unique_target=unique)
+            assert sorted((tuple(r) for r in got.collect()), key=repr) == want
 
 
 def test_equal_buckets_are_not_joined(spark):

@@ -101,7 +101,7 @@ def unequal_parts(source: DataFrame, target: DataFrame, columns: Sequence[str],
     return _unequal(shown(source), shown(target), columns, bucket).select("bucket.__bucket", "bucket.__parts", F.col("part").alias("__part"), F.col("columns").alias("__unequal"))
 
 
-def differences(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str] | None = None, buckets: int = 4096, settle: Settle | None = None, rows: int | None = None, rows_per_bucket: int = 32, most_broadcast: int = BROADCAST_BYTES) -> DataFrame:
+def differences(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str] | None = None, buckets: int = 4096, settle: Settle | None = None, rows: int | None = None, rows_per_bucket: int = 32, most_broadcast: int = BROADCAST_BYTES, unique_target: bool = False) -> DataFrame:
     """``row_key, field_name, diff_kind``: rows that one side lacks (field ``*``) and each differing field.
 
     columns: compared as stored, null equal only to null; by default all of the
@@ -109,6 +109,9 @@ def differences(source: DataFrame, target: DataFrame, key: str, columns: Sequenc
     source's rows of a key counts. Without it, and always on the target, a
     repeated key stands for the smallest of its rows; rows repeated alike on
     both sides are equal. A null key is a key like others, with a null ``row_key``.
+    unique_target: the target's key is declared unique, so its rows needn't be
+    brought together by key before the join; a key that is repeated all the same comes out
+    once for each of its rows.
 
     rows: how many the target has about. Where that makes more than ``rows_per_bucket``
     a bucket, unequal buckets are split by a second hash into parts of that size, and
@@ -139,7 +142,7 @@ def differences(source: DataFrame, target: DataFrame, key: str, columns: Sequenc
         return found if unique else found.groupBy(*KEY).agg(F.min(name).alias(name))
 
     # The settled source comes out of one shuffle by key, which both the matrix and this join read.
-    both = left(source, "a", unique=settle is not None).join(left(target, "b", unique=False), list(KEY), "full_outer")
+    both = left(source, "a", unique=settle is not None).join(left(target, "b", unique=unique_target), list(KEY), "full_outer")
     in_a, in_b = F.col("a").isNotNull(), F.col("b").isNotNull()
     one = lambda field, kind: F.struct(field.alias("field_name"), F.lit(kind).alias("diff_kind"))
     fields = [F.when(~F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")), F.lit(c)) for c in columns]
