@@ -552,6 +552,11 @@ def coverage_newest(spark, d):
     return coverage(spark, d).join(dates, "transaction_id").select("transaction_id", "transaction_date", "enriched", "with_balance").orderBy(F.desc("transaction_date"), "transaction_id").limit(50)
 
 
+def samples(spark, d):
+    """Five rows of the mirror, the first by key so that they are the same every time."""
+    return table(spark, d, "t24_transactions_target").select("transaction_id", "account_id", "amount", "transaction_date").orderBy("transaction_id").limit(5)
+
+
 def sync_lag(spark, d):
     """Source rows the mirror lacks: how many, and since when."""
     rows = joins.absent(_once(spark, d, "transaction_date"), table(spark, d, "t24_transactions_target"), "transaction_id")
@@ -609,6 +614,6 @@ def ledger_seen(spark, d):
 _NAMES = """envelope_rows mirror_row_number mirror_max_by upsert_only_fold merge_newer merge_upsert merge_update_columns merge_insert_absent merge_add_up delete_by_key enrich_branch misses_branch
 enrich_customer misses_customer cache_fold interval_left interval_first bootstrap bootstrap_rejects full_outer_key full_outer_window join_methods signed_totals sales_recompute reconcile region_rollup
 top_branches freshest bootstrap_since bootstrap_counts envelope_declared rows_as_text reconcile_worst retry_outcomes retry_out_of_turn retry_unloaded retry_none_found retry_enriched retry_account retry_summary cleanup_counts backoff_waits dead_letters_due dead_letters_pending dead_letters_expired dead_letters_new dead_letter_states dead_letter_tries dead_letter_rates dead_letter_oldest
-dead_letter_ages dead_letter_hourly dead_letter_top dead_letter_newest dead_letter_minutes dead_letter_last_hour dead_letter_share row_counts latency latency_by_hour latency_last_hour latency_discrete throughput throughput_last_half_hour time_skew coverage coverage_newest sync_lag sync_missing snapshot_timing
+dead_letter_ages dead_letter_hourly dead_letter_top dead_letter_newest dead_letter_minutes dead_letter_last_hour dead_letter_share row_counts latency latency_by_hour latency_last_hour latency_discrete throughput throughput_last_half_hour time_skew coverage coverage_newest samples sync_lag sync_missing snapshot_timing
 duplicate_keys duplicate_rows column_mapping wire_values scalar_functions ledger_seen"""
 QUERIES = {name: globals()[name] for name in _NAMES.split()}

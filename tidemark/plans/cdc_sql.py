@@ -150,6 +150,7 @@ SQL = {
     "time_skew": f"SELECT count(*) AS n, round(CAST(sum(CAST(s AS DECIMAL(38,6))) AS DOUBLE) / count(*), 6) AS average, {_POINT.format('s', 0.95, 95)}, {_POINT.format('s', 0.99, 99)}, round(max(s), 6) AS most FROM (SELECT abs(tm - acct_at) / 1000 AS s FROM ({_FIRST.format('')}))",
     "coverage": f"SELECT transaction_id, branch_code, account_id, enriched, with_balance, dead_letter, balance_dead_letter FROM ({_COVERAGE})",
     "coverage_newest": f"SELECT transaction_id, transaction_date, enriched, with_balance FROM ({_COVERAGE}) ORDER BY transaction_date DESC, transaction_id LIMIT 50",
+    "samples": "SELECT transaction_id, account_id, amount, transaction_date FROM t24_transactions_target ORDER BY transaction_id LIMIT 5",
     "sync_lag": f"SELECT count(*) AS not_yet_synced, min(transaction_date) AS oldest_date FROM ({_ONCE}) o WHERE NOT EXISTS (SELECT 1 FROM t24_transactions_target t WHERE t.transaction_id = o.transaction_id)",
     "sync_missing": f"SELECT transaction_id, transaction_date FROM ({_ONCE}) o WHERE NOT EXISTS (SELECT 1 FROM t24_transactions_target t WHERE t.transaction_id = o.transaction_id)",
     "snapshot_timing": "SELECT epoch_us(min(transaction_time)) AS first_us, epoch_us(max(transaction_time)) AS last_us, count(DISTINCT account_id) AS accounts, count(DISTINCT customer_id) AS customers FROM t24_transactions_target",
