@@ -25,15 +25,16 @@ HISTORY_OF = ["segment", "status", "manage_branch_code"]
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """A commit number is that of one change and the same in its copies, so it is the change's ordinal too."""
     feed = table(spark, d, "debezium_envelope")
-    state = replay.replay(replay.prepare(feed, "msg_key", "source_scn", payload=()))
+    state = replay.replay(replay.prepare(feed, "msg_key", "source_scn", payload=(), ordinal="source_scn"))
     return state.select(F.col("key").alias("transaction_id"), F.col("transaction").alias("source_scn"))
 
 
 def p1_state(spark: SparkSession, d: str) -> DataFrame:
     """The current rows themselves."""
     feed = table(spark, d, "debezium_envelope")
-    state = replay.replay(replay.prepare(feed, "msg_key", "source_scn"))
+    state = replay.replay(replay.prepare(feed, "msg_key", "source_scn", ordinal="source_scn"))
     row = state.select(F.col("key").alias("transaction_id"), F.col("transaction").alias("source_scn"), F.from_json("payload.after", IMAGE).alias("r"))
     return row.select(
         "transaction_id", "source_scn", F.col("r.ACCOUNT_ID").alias("account_id"), F.date_from_unix_date(F.floor(F.col("r.TRANSACTION_DATE") / F.lit(late.DAY_MS)).try_cast("int")).alias("transaction_date"),
