@@ -44,6 +44,9 @@ def test_envelopes(spark):
     assert envelope.envelope_schema({"op": "string", "ts_ms": "LONG", "x": "odd"}).simpleString() == "struct<op:string,ts_ms:bigint,x:string>"
     json = spark.createDataFrame([("{}",), ('{"a":1',), ("[1]",), (None,), ('{"a":{}}',)], "j string")
     assert [r[0] for r in json.select(envelope.is_json_object(F.col("j"))).collect()] == [True, False, False, False, True]
+    more = ["", " ", "null", "1", '"{}"', ' \t\r\n{"a":1} ', '{"a":1}x', "{}{}", "\ufeff{}", '{"a":1,}', "{'a':1}", '{"a":[1,{"b":2}]}', "{", "}{"]
+    both = spark.createDataFrame([(j,) for j in more], "j string").select("j", envelope.is_json_object(F.col("j")).alias("quick"), F.coalesce(F.schema_of_variant(F.try_parse_json("j")).startswith("OBJECT"), F.lit(False)).alias("slow"))
+    assert [(r.j, r.quick) for r in both.collect()] == [(r.j, r.slow) for r in both.collect()]
 
 
 def test_declared_envelopes_and_rows_as_text(spark):

@@ -39,7 +39,7 @@ def effective_image(changes: DataFrame, to: str = "row_data") -> DataFrame:
 
 def is_json_object(text: Column) -> Column:
     """True where the text is intact JSON with an object on top."""
-    return F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
+    return F.try_parse_json(text).isNotNull() & F.coalesce(F.ltrim(text, F.lit(" \t\n\r")).startswith("{"), F.lit(False))
 
 
 def typed_rows(changes: DataFrame, schema: T.StructType, image: str = "row_data", keep: Sequence[str] = ("op", "offset")) -> DataFrame:
